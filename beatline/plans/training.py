@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from beatline import schema
 from beatline.operators import learning, model_reports
@@ -29,6 +29,14 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _saved(model: PipelineModel, spark: SparkSession, name: str) -> PipelineModel:
+    """The model as stored: without the training summary, whose session reference cannot go to executors
+    once the session has observed metrics."""
+    path = staging_path(spark, name)
+    model.save(path)
+    return PipelineModel.load(path)
+
+
 def prepare(processed: DataFrame, task: Task, fraction: float = learning.SAMPLE_FRACTION) -> DataFrame:
     """Sampled feature frame with collapsed locations and the training mark, still lazy."""
     frame = learning.sample(learning.feature_frame(processed, task), fraction)
@@ -51,13 +59,14 @@ def train(
 ) -> Training:
     """Fit on the training rows and score the others.
 
-    The frame and the scored rows are each written once; fitting, counts and metrics all read them.
+    The frame, the model and the scored rows are each written once; fitting, counts and metrics read them.
     """
     spark = processed.sparkSession
     frame = _staged(prepare(processed, task, fraction), f"{task.name}-frame")
     if task.classes is not None:
         frame = frame.withColumn("label", F.col(task.target).cast("double"))
-    model = learning.pipeline(task, usable_categories(frame), forest).fit(frame.filter("is_train"))
+    fitted = learning.pipeline(task, usable_categories(frame), forest).fit(frame.filter("is_train"))
+    model = _saved(fitted, spark, f"{task.name}-model")
     labels = learning.class_labels(model, task)
 
     scored = model.transform(frame.filter(~F.col("is_train")))

@@ -14,6 +14,7 @@ from beatline.functions.times import change_time, iso_text
 START_TIME, START_ID = "1900-01-01T00:00:00", "0"
 PAGE_SIZE = 50_000
 
+_DAY = 24 * 60 * 60
 _ID_BLOCK_BITS = 20
 
 
@@ -104,14 +105,20 @@ def first_page(df: DataFrame, cursor: DataFrame, size: int = PAGE_SIZE) -> DataF
 
     Counts by day, then second, then block of IDs narrow the records to little more than the page before
     anything is sorted, so the sort stays small even if one day or one second holds most of the changes.
+    Each count leaves one value, which bounds the next scan.
     """
     keyed = changes_after(df, cursor).withColumns(dict(zip(("_moment", "_number"), _keys(df))))
-    second = F.date_trunc("second", "_moment")
+    second = F.unix_seconds("_moment")
     no_number = F.lit(2**62)  # records without a numeric ID come last
     block = F.coalesce(F.shiftright("_number", _ID_BLOCK_BITS), no_number)
-    steps = [F.date_trunc("day", "_moment"), second, F.struct(second.alias("second"), block.alias("block"))]
-    for step in steps:
-        keyed = _narrow(keyed, step, size)
+
+    last_day = _last_step(keyed, F.floor(second / _DAY), size)
+    if last_day is not None:
+        keyed = keyed.filter(F.col("_moment") < F.timestamp_seconds(F.lit((last_day + 1) * _DAY)))
+        last_second = _last_step(keyed, second, size)
+        keyed = keyed.filter(F.col("_moment") < F.timestamp_seconds(F.lit(last_second + 1)))
+        _, last_block = _last_step(keyed, F.struct(second.alias("second"), block.alias("block")), size)
+        keyed = keyed.filter((second < last_second) | (block <= last_block))
     return (
         keyed.orderBy("_moment", F.col("_number").asc_nulls_last())
         .limit(size)
@@ -119,17 +126,16 @@ def first_page(df: DataFrame, cursor: DataFrame, size: int = PAGE_SIZE) -> DataF
     )
 
 
-def _narrow(df: DataFrame, step: Column, size: int) -> DataFrame:
-    """Keep the first steps that together hold at least ``size`` rows."""
+def _last_step(df: DataFrame, step: Column, size: int):
+    """The step at which the rows counted in order of steps reach ``size``; None if they never do."""
     running = F.sum("n").over(Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     counts = df.groupBy(step.alias("step")).agg(F.count("*").alias("n"))
-    last = (
+    return (
         counts.withColumn("running", running)
         .filter(F.col("running") >= size)
-        .agg(F.min("step").alias("last"))
-        .scalar()
+        .agg(F.min("step").alias("step"))
+        .first()["step"]
     )
-    return df.filter(last.isNull() | (step <= last))
 
 
 def next_cursor(taken: DataFrame, cursor: DataFrame) -> DataFrame:
