@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from beatline.functions.sampling import key_fraction
+from beatline.operators.clean import require_columns
 
 # The quantiles whose values bound the five classes.
 CLASS_QUANTILES = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
@@ -67,7 +68,7 @@ def heat_grid(df: DataFrame, cell: float = 0.01) -> DataFrame:
     """Incidents per map cell of ``cell`` degrees, over every row that has a position."""
     size = F.lit(cell)
     return (
-        df.dropna(subset=["Latitude", "Longitude"])
+        df.transform(require_columns, ["Latitude", "Longitude"])
         .groupBy(
             F.floor(F.col("Latitude") / size).alias("lat_cell"),
             F.floor(F.col("Longitude") / size).alias("lon_cell"),
@@ -79,7 +80,7 @@ def heat_grid(df: DataFrame, cell: float = 0.01) -> DataFrame:
 def sample_coordinates(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
     """Positions of a fixed share of the incidents, for a point map."""
     return (
-        df.dropna(subset=["Latitude", "Longitude"])
+        df.transform(require_columns, ["Latitude", "Longitude"])
         .filter(key_fraction(F.col("ID"), seed) < fraction)
         .select("Latitude", "Longitude")
     )

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from beatline import schema
 from beatline.functions import offences, times
+from beatline.operators.clean import require_columns
 
 
 def add_time_features(df: DataFrame) -> DataFrame:
@@ -11,7 +12,7 @@ def add_time_features(df: DataFrame) -> DataFrame:
     moment = F.col("crime_datetime")
     return (
         df.withColumn("crime_datetime", times.incident_time(F.col("Date")))
-        .dropna(subset=["crime_datetime"])
+        .transform(require_columns, ["crime_datetime"])
         .withColumns(
             {
                 "crime_year": F.year(moment),

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beatline.functions.sampling import key_fraction
+from beatline.operators.clean import require_columns
 
 # Settings of sampling, encoding and forest.
 SAMPLE_FRACTION = 0.7
@@ -149,7 +150,7 @@ def feature_frame(processed: DataFrame, task: Task, weekend_days: tuple[int, ...
     ]
     district = F.col("District").cast("double")
     return (
-        processed.dropna(subset=[*task.required, task.target])
+        processed.transform(require_columns, [*task.required, task.target])
         .select(
             *stored,
             district.alias("District"),
@@ -173,7 +174,7 @@ def split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SEED) ->
 
 
 def top_locations(df: DataFrame, top: int = TOP_LOCATIONS) -> DataFrame:
-    """The most frequent location texts, NULL being one of them; equal counts go by text."""
+    """The most frequent location texts, NULL possibly one of them; equal counts go by text."""
     return (
         df.groupBy("Location Description")
         .agg(F.count("*").alias("n"))
@@ -182,15 +183,10 @@ def top_locations(df: DataFrame, top: int = TOP_LOCATIONS) -> DataFrame:
     )
 
 
-def collapse_locations(df: DataFrame, top: DataFrame) -> DataFrame:
-    """``loc_desc_topN``: the location text where it is among ``top``, else OTHER, as for NULL.
-
-    ``top`` holds at most the few rows that ``top_locations`` was asked for, so it is broadcast.
-    """
-    kept = top.select("Location Description", F.col("Location Description").alias("loc_desc_topN"))
-    return df.join(F.broadcast(kept), "Location Description", "left").na.fill(
-        OTHER_LOCATION, subset=["loc_desc_topN"]
-    )
+def collapse_locations(df: DataFrame, kept: list[str | None]) -> DataFrame:
+    """``loc_desc_topN``: the location text where it is among the few to keep, else OTHER, as for NULL."""
+    text = F.col("Location Description")
+    return df.withColumn("loc_desc_topN", F.when(text.isin(kept), text).otherwise(OTHER_LOCATION))
 
 
 def cardinality(df: DataFrame, columns: list[str]) -> DataFrame:

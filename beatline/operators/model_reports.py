@@ -3,6 +3,8 @@
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, functions as F
 
+from beatline.operators.clean import require_columns
+
 BINS = 50
 TOP_FEATURES = 15
 METRICS = ["accuracy", "f1", "auc"]
@@ -27,7 +29,7 @@ def confusion_counts(predictions: DataFrame, truth: str, predicted: str) -> Data
     """Rows per pair of true and predicted class, rows without either left out."""
     return (
         predictions.select(F.col(truth).alias("label"), F.col(predicted).alias("prediction"))
-        .dropna()
+        .transform(require_columns, ["label", "prediction"])
         .groupBy("label", "prediction")
         .agg(F.count("*").alias("n"))
     )
@@ -79,16 +81,15 @@ def area_under_roc(predictions: DataFrame, label: str, score: str) -> float:
 def probability_histogram(predictions: DataFrame, column: str = "prob_domestic", bins: int = BINS) -> DataFrame:
     """Rows in each of the equal bins between the least and the greatest value, over all rows.
 
-    Bins hold their lower edge, the last also its upper; empty bins have no row.
+    Bins hold their lower edge, the last also its upper; empty bins have no row.  The range takes a pass of
+    its own: probabilities hardly repeat, so counting each value first would shuffle the whole table.
     """
-    values = predictions.select(F.col(column).cast("double").alias("p")).dropna()
-    # distinct values are counted first: both the range and the bins come from the counts
-    counts = values.groupBy("p").agg(F.count("*").alias("n"))
-    bounds = counts.agg(F.min("p").alias("low"), F.max("p").alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    values = predictions.select(F.col(column).cast("double").alias("p")).transform(require_columns, ["p"])
+    bounds = values.agg(F.struct(F.min("p").alias("low"), F.max("p").alias("high"))).scalar()
+    low, high = bounds.getField("low"), bounds.getField("high")
     place = F.coalesce(F.try_divide(F.col("p") - low, high - low), F.lit(0.0))
     number = F.least(F.floor(place * bins), F.lit(bins - 1)).cast("int")
-    return counts.groupBy(number.alias("bin")).agg(F.sum("n").alias("n"))
+    return values.groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
 
 
 def metric_comparison(runs: DataFrame) -> DataFrame:

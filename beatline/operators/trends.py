@@ -82,9 +82,9 @@ def night_risk_averages(districts: DataFrame) -> DataFrame:
 
 def night_risk_quadrants(districts: DataFrame) -> DataFrame:
     """Each district's place against the two averages."""
-    averages = night_risk_averages(districts)
-    night, arrest = averages.select("avg_night").scalar(), averages.select("avg_arrest").scalar()
-    return districts.withColumns({"avg_night": night, "avg_arrest": arrest}).withColumn(
+    averages = night_risk_averages(districts).select(F.struct("avg_night", "avg_arrest")).scalar()
+    both = {name: averages.getField(name) for name in ("avg_night", "avg_arrest")}
+    return districts.withColumns(both).withColumn(
         "quadrant",
         F.concat(
             F.when(F.col("night_crime_ratio") >= F.col("avg_night"), "high night").otherwise("low night"),

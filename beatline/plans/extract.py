@@ -2,20 +2,13 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatline.session import staging_path
+from beatline.session import staged
 from beatline.sinks.messages import as_messages, publish
 from beatline.sinks.tables import save_cursor
 from beatline.sources import changes
 from beatline.sources.tables import read_csv
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """Written down in the shared folder, so that later reads see the same rows."""
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def run_increment(
     table: DataFrame, cursor_path: str, lookback_hours: int = 0, full: bool = False, **sink
 ) -> DataFrame:
@@ -28,7 +21,7 @@ def run_increment(
     spark = table.sparkSession
     saved = changes.start_cursor(spark) if full else changes.load_cursor(spark, cursor_path)
     changed = changes.incremental_load(table, saved, lookback_hours)
-    until = _kept(changes.next_cursor(changed, saved), "cursor")
+    until = staged(changes.next_cursor(changed, saved), "cursor")
     publish(as_messages(changes.changes_until(changed, until), keep_nulls=False), **sink)
     save_cursor(until, cursor_path)
     return until
@@ -40,8 +33,8 @@ def run_csv_bootstrap(
     """Publish a CSV export and save the cursor after it; ``run_increment`` goes on from there."""
     rows = read_csv(spark, csv_path, max_rows)
     if max_rows is not None:
-        rows = _kept(rows, "csv-rows")  # which rows a limit takes may differ from read to read
+        rows = staged(rows, "csv-rows")  # which rows a limit takes may differ from read to read
     publish(as_messages(rows), **sink)
-    cursor = _kept(changes.csv_cursor(rows), "cursor")
+    cursor = staged(changes.csv_cursor(rows), "cursor")
     save_cursor(cursor, cursor_path)
     return cursor

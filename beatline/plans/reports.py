@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame
 
-from beatline.operators import trends
+from beatline.operators import areas, trends
+from beatline.session import staged
 from beatline.sinks.tables import replace_result
 
 
@@ -19,3 +20,22 @@ def publish_results(processed: DataFrame, folder: str, sink_format: str = "parqu
     """Replace the four collections, each under its name in the folder."""
     for name, result in result_collections(processed).items():
         replace_result(result, f"{folder}/{name}", sink_format, **options)
+
+
+def night_risk(processed: DataFrame) -> DataFrame:
+    """Districts with their quadrant.  The district rows are written once and read for rows and averages."""
+    return trends.night_risk_quadrants(staged(trends.night_risk_by_district(processed), "districts"))
+
+
+def choropleth(processed: DataFrame, boundaries: DataFrame, area_key: str) -> dict[str, DataFrame]:
+    """The tables behind an area map: counts with classes, class edges, and boundaries with counts.
+
+    The incidents are read once; the rest works on the area counts.
+    """
+    counts = staged(areas.area_counts(processed), "area-counts")
+    edges = areas.class_edges(counts)
+    return {
+        "areas": areas.assign_classes(counts, edges),
+        "edges": edges,
+        "boundaries": areas.counts_on_boundaries(boundaries, counts, area_key),
+    }

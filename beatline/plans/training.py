@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from beatline import schema
 from beatline.operators import learning, model_reports
 from beatline.operators.learning import Task
-from beatline.session import staging_path
+from beatline.session import staged, staging_path
 
 
 @dataclass(frozen=True)
@@ -21,14 +21,6 @@ class Training:
     run: DataFrame
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: later passes neither recompute nor lose it."""
-    spark = df.sparkSession
-    path = staging_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _saved(model: PipelineModel, spark: SparkSession, name: str) -> PipelineModel:
     """The model as stored: without the training summary, whose session reference cannot go to executors
     once the session has observed metrics."""
@@ -38,11 +30,17 @@ def _saved(model: PipelineModel, spark: SparkSession, name: str) -> PipelineMode
 
 
 def prepare(processed: DataFrame, task: Task, fraction: float = learning.SAMPLE_FRACTION) -> DataFrame:
-    """Sampled feature frame with collapsed locations and the training mark, still lazy."""
-    frame = learning.sample(learning.feature_frame(processed, task), fraction)
-    collapsed = learning.collapse_locations(frame, learning.top_locations(frame))
-    used = dict.fromkeys([*learning.CONTEXT, *task.numeric, *learning.CATEGORICAL, task.target])
-    return learning.split(collapsed).select(*used, "is_train")
+    """Sampled feature frame with collapsed locations and the training mark.
+
+    The sample is written once, since it is read for the top locations and by every pass of the training.
+    The top locations, twenty at most, come to the driver and return as constants.
+    """
+    sampled = learning.sample(learning.feature_frame(processed, task), fraction)
+    texts = [c for c in learning.CATEGORICAL if c in sampled.columns]
+    used = dict.fromkeys([*learning.CONTEXT, *task.numeric, *texts, task.target])
+    frame = staged(sampled.select(*used), f"{task.name}-frame")
+    kept = [row["Location Description"] for row in learning.top_locations(frame).collect()]
+    return learning.split(learning.collapse_locations(frame, kept))
 
 
 def usable_categories(frame: DataFrame) -> list[str]:
@@ -59,10 +57,10 @@ def train(
 ) -> Training:
     """Fit on the training rows and score the others.
 
-    The frame, the model and the scored rows are each written once; fitting, counts and metrics read them.
+    The sample, the model and the scored rows are each written once; fitting, counts and metrics read them.
     """
     spark = processed.sparkSession
-    frame = _staged(prepare(processed, task, fraction), f"{task.name}-frame")
+    frame = prepare(processed, task, fraction)
     if task.classes is not None:
         frame = frame.withColumn("label", F.col(task.target).cast("double"))
     fitted = learning.pipeline(task, usable_categories(frame), forest).fit(frame.filter("is_train"))
@@ -74,7 +72,7 @@ def train(
     named = learning.name_predictions(scored, task, labels).select(
         *learning.CONTEXT, *task.outputs, "label", "prediction", vector_to_array("probability").alias("prob_array")
     )
-    scored = _staged(named, f"{task.name}-scored")
+    scored = staged(named, f"{task.name}-scored")
 
     scores = model_reports.quality_scores(
         model_reports.confusion_counts(scored, "label", "prediction")

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Incident times carry no zone, so they are read and shown in UTC.  The JVM does not compile methods of more
@@ -53,3 +53,13 @@ def shared_folder(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; never reused, so reruns cannot mix their files."""
     return f"{shared_folder(spark)}/beatline/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Later reads neither compute them again nor see other rows, and a lost executor costs nothing but a read.
+    """
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

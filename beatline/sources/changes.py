@@ -65,11 +65,13 @@ def look_back(cursor: DataFrame, hours: int) -> DataFrame:
     )
 
 
-def _cursor_scalars(cursor: DataFrame) -> tuple[Column, Column]:
-    return (
-        cursor.select(change_time(F.col("last_updated_on"))).scalar(),
-        cursor.select(F.coalesce(F.col("last_id").try_cast("bigint"), F.lit(0).cast("bigint"))).scalar(),
-    )
+def _position(cursor: DataFrame) -> tuple[Column, Column]:
+    """Time and ID of a one-row cursor, for use in a condition on another table."""
+    number = F.coalesce(F.col("last_id").try_cast("bigint"), F.lit(0).cast("bigint"))
+    position = cursor.select(
+        F.struct(change_time(F.col("last_updated_on")).alias("moment"), number.alias("number"))
+    ).scalar()
+    return position.getField("moment"), position.getField("number")
 
 
 def changes_after(df: DataFrame, cursor: DataFrame) -> DataFrame:
@@ -78,14 +80,14 @@ def changes_after(df: DataFrame, cursor: DataFrame) -> DataFrame:
     The first condition alone bounds the change time, so it can reach the scan of a typed table.
     """
     moment, number = _keys(df)
-    last_moment, last_number = _cursor_scalars(cursor)
+    last_moment, last_number = _position(cursor)
     return df.filter(moment >= last_moment).filter((moment > last_moment) | (number > last_number))
 
 
 def changes_until(df: DataFrame, cursor: DataFrame) -> DataFrame:
     """Records up to and including the cursor."""
     moment, number = _keys(df)
-    last_moment, last_number = _cursor_scalars(cursor)
+    last_moment, last_number = _position(cursor)
     return df.filter(moment <= last_moment).filter(
         (moment < last_moment) | number.isNull() | (number <= last_number)
     )
@@ -150,10 +152,10 @@ def next_cursor(taken: DataFrame, cursor: DataFrame) -> DataFrame:
         .cast("string")
         .alias("number"),
     )
-    old = or_start(cursor)
+    old = or_start(cursor).select(F.struct("last_updated_on", "last_id")).scalar()
     return last.select(
-        F.coalesce("text", old.select("last_updated_on").scalar()).alias("last_updated_on"),
-        F.coalesce("number", old.select("last_id").scalar()).alias("last_id"),
+        F.coalesce("text", old.getField("last_updated_on")).alias("last_updated_on"),
+        F.coalesce("number", old.getField("last_id")).alias("last_id"),
     )
 
 

@@ -202,8 +202,7 @@ def night_risk_by_district_wide(spark, sf_dir):
 
 @_query
 def night_risk_quadrants(spark, sf_dir):
-    districts = trends.night_risk_by_district(_processed(spark, sf_dir))
-    return trends.night_risk_quadrants(districts).withColumns(
+    return reports.night_risk(_processed(spark, sf_dir)).withColumns(
         {c: F.round(c, 9) for c in ("avg_night", "avg_arrest")}
     )
 
@@ -258,13 +257,15 @@ def _boundary_file(spark, sf_dir):
     return path
 
 
+def _map_tables(spark, sf_dir):
+    shapes = boundaries.read_boundaries(spark, _boundary_file(spark, sf_dir))
+    return reports.choropleth(_processed(spark, sf_dir), shapes, "area_numbe")
+
+
 @_query
 def area_counts_on_boundaries(spark, sf_dir):
-    shapes = boundaries.read_boundaries(spark, _boundary_file(spark, sf_dir))
-    counts = areas.area_counts(_processed(spark, sf_dir))
-    joined = areas.counts_on_boundaries(shapes, counts, "area_numbe")
     named = [F.col("properties").getItem(key).alias(key) for key in ("area_numbe", "community")]
-    return joined.select(*named, "crime_count")
+    return _map_tables(spark, sf_dir)["boundaries"].select(*named, "crime_count")
 
 
 @_query
@@ -275,8 +276,7 @@ def choropleth_bins(spark, sf_dir):
 
 @_query
 def choropleth_classes(spark, sf_dir):
-    counts = areas.area_counts(_processed(spark, sf_dir))
-    return areas.assign_classes(counts, areas.class_edges(counts))
+    return _map_tables(spark, sf_dir)["areas"]
 
 
 @_query

@@ -1,6 +1,6 @@
 """Incident tables derived from the ``events`` table, every event giving one record."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from beatline import schema
 from beatline.functions import times
@@ -61,53 +61,42 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _nth(texts: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(t) for t in texts]), (index + 1).cast("int"))
+def _nth(texts: list[str], index: str) -> str:
+    quoted = ", ".join("'" + text + "'" for text in texts)
+    return f"element_at(array({quoted}), cast({index} + 1 as int))"
 
 
-def _unless(missing: Column, value: Column) -> Column:
-    return F.when(~missing, value)
+# How an event becomes a raw record; columns that are not named here are NULL.
+_RAW_RULES = {
+    "ID": "cast(event_id - int(event_id % 20 = 19) as string)",
+    "Case Number": "concat('C', event_id)",
+    "Date": f"""case when event_id % 97 = 5 then 'n/a'
+        when event_id % 3 = 0 then date_format(moved, '{times.CSV_FORMAT}')
+        when event_id % 3 = 1 then date_format(moved, "yyyy-MM-dd'T'HH:mm:ss'.000'")
+        else date_format(moved, "{times.ISO_FORMAT}") end""",
+    "Primary Type": f"if(event_id % 101 = 7, null, {_nth(PRIMARY_TYPES, 'event_id % 14')})",
+    "Description": "event_type",
+    "Location Description": f"if(event_id % 53 = 3, null, {_nth(LOCATIONS, '(event_id * 7 + user_id) % 24')})",
+    "Arrest": """case when event_id % 41 = 4 then null when event_type = 'purchase' then 'true'
+        when event_type = 'error' then 'TRUE' when event_id % 43 = 2 then 'maybe' else 'false' end""",
+    "Domestic": "case when event_id % 37 = 6 then null when user_id % 5 = 0 then 'true' else 'False' end",
+    "District": """case when user_id % 29 = 28 then null when event_id % 47 = 0 then ''
+        when event_id % 2 = 0 then lpad(user_id % 25 + 1, 3, '0') else concat(user_id % 25 + 1, '.0') end""",
+    "Community Area": "if(user_id % 31 = 30, null, cast(user_id % 77 + 1 as string))",
+    "Year": "cast(year(moved) as string)",
+    "Updated On": """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'.000'")""",
+    "Latitude": "if(event_id % 67 = 8, null, concat('41.', 600 + event_id % 400))",
+    "Longitude": "if(event_id % 67 = 8, null, concat('-87.', 500 + user_id % 150 * 3))",
+}
 
 
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table: 22 text columns with duplicates, gaps, and dates in three layouts."""
-    event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    moment = F.col("ts") + F.make_ym_interval(F.lit(0), (event % 30).cast("int"))
-    district = user % 25 + 1
-    columns = {
-        "ID": F.when(event % 20 == 19, event - 1).otherwise(event).cast("string"),
-        "Case Number": F.concat(F.lit("C"), event.cast("string")),
-        "Date": F.when(event % 97 == 5, "n/a")
-        .when(event % 3 == 0, F.date_format(moment, times.CSV_FORMAT))
-        .when(event % 3 == 1, F.concat(F.date_format(moment, times.ISO_FORMAT), F.lit(".000")))
-        .otherwise(F.date_format(moment, times.ISO_FORMAT)),
-        "Primary Type": _unless(event % 101 == 7, _nth(PRIMARY_TYPES, event % 14)),
-        "Description": kind,
-        "Location Description": _unless(event % 53 == 3, _nth(LOCATIONS, (event * 7 + user) % 24)),
-        "Arrest": _unless(
-            event % 41 == 4,
-            F.when(kind == "purchase", "true")
-            .when(kind == "error", "TRUE")
-            .when(event % 43 == 2, "maybe")
-            .otherwise("false"),
-        ),
-        "Domestic": _unless(event % 37 == 6, F.when(user % 5 == 0, "true").otherwise("False")),
-        "District": _unless(
-            user % 29 == 28,
-            F.when(event % 47 == 0, "")
-            .when(event % 2 == 0, F.lpad(district.cast("string"), 3, "0"))
-            .otherwise(F.concat(district.cast("string"), F.lit(".0"))),
-        ),
-        "Community Area": _unless(user % 31 == 30, (user % 77 + 1).cast("string")),
-        "Year": F.year(moment).cast("string"),
-        "Updated On": F.concat(F.date_format("ts", times.ISO_FORMAT), F.lit(".000")),
-        "Latitude": _unless(event % 67 == 8, F.concat(F.lit("41."), (600 + event % 400).cast("string"))),
-        "Longitude": _unless(event % 67 == 8, F.concat(F.lit("-87."), (500 + user % 150 * 3).cast("string"))),
-    }
-    missing = F.lit(None).cast("string")
-    return events(spark, sf_dir).select(
-        *[columns.get(c, missing).alias(c) for c in schema.RAW_COLUMNS], event.alias("event_id")
+    """The raw table, 22 text columns with duplicates, gaps and dates in three layouts, and ``event_id``."""
+    moved = events(spark, sf_dir).selectExpr(
+        "*", "ts + make_ym_interval(0, cast(event_id % 30 as int)) as moved"
     )
+    rules = [f"{_RAW_RULES.get(c, 'cast(null as string)')} as `{c}`" for c in schema.RAW_COLUMNS]
+    return moved.selectExpr(*rules, "event_id")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,5 +134,5 @@ def derived_predictions(processed: DataFrame) -> DataFrame:
         "is_domestic_incident",
         score.alias("prob_domestic"),
         (score >= 0.5).cast("double").alias("predicted_is_domestic"),
-        _nth(CRIME_CLASSES, number % 5).alias("predicted_crime_category"),
+        F.expr(_nth(CRIME_CLASSES, "cast(ID as bigint) % 5")).alias("predicted_crime_category"),
     )
