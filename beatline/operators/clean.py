@@ -37,9 +37,8 @@ def latest_per_id(df: DataFrame) -> DataFrame:
 def type_columns(df: DataFrame) -> DataFrame:
     """Cast numbers and flags; columns that are absent are left out, bad text becomes NULL."""
     casts = [(schema.INT_COLUMNS, safe_int), (schema.DOUBLE_COLUMNS, safe_double), (schema.FLAG_COLUMNS, text_flag)]
-    return df.withColumns(
-        {c: cast(F.col(c)) for columns, cast in casts for c in columns if c in df.columns}
-    )
+    present = set(df.columns)
+    return df.withColumns({c: cast(F.col(c)) for columns, cast in casts for c in columns if c in present})
 
 
 def clean(df: DataFrame) -> DataFrame:

@@ -35,8 +35,10 @@ def add_time_features(df: DataFrame) -> DataFrame:
 def add_incident_features(df: DataFrame, night: tuple[int, int] = (22, 4)) -> DataFrame:
     """Classify place and offence; a table without Arrest or Domestic counts them as False."""
 
+    present = set(df.columns)
+
     def flag(column):
-        return F.col(column) if column in df.columns else F.lit(False)
+        return F.col(column) if column in present else F.lit(False)
 
     place, offence = F.col("location_category"), F.col("Primary Type")
     return df.withColumns(
@@ -71,7 +73,8 @@ def add_risk_score(df: DataFrame) -> DataFrame:
 
 def processed_columns(df: DataFrame) -> DataFrame:
     """The processed table's columns, as far as the input has them."""
-    return df.select(*[F.col(f"`{c}`") for c in schema.PROCESSED_COLUMNS if c in df.columns])
+    present = set(df.columns)
+    return df.select(*[c for c in schema.PROCESSED_COLUMNS if c in present])
 
 
 def enrich(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, functions as F
 
+from beatline.functions.sampling import key_fraction
 from beatline.operators.clean import require_columns
 
 BINS = 50
@@ -92,6 +93,15 @@ def probability_histogram(predictions: DataFrame, column: str = "prob_domestic",
     return values.groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
 
 
+def sample_probabilities(
+    predictions: DataFrame, column: str = "prob_domestic", fraction: float = 0.01, seed: int = 42
+) -> DataFrame:
+    """A fixed share of the probabilities, for a plot of single values."""
+    return predictions.filter(key_fraction(F.col("ID"), seed) < fraction).select(
+        F.col(column).cast("double").alias("prob")
+    ).transform(require_columns, ["prob"])
+
+
 def metric_comparison(runs: DataFrame) -> DataFrame:
     """Metrics of each task's newest run, one row per metric; NULL where a run lacks it."""
     newest = runs.groupBy("task_type").agg(F.max_by("metrics", "created_at").alias("m"))

@@ -1,6 +1,6 @@
 """Publish changed records and move the cursor."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from beatline.session import staged
 from beatline.sinks.messages import as_messages, publish
@@ -30,11 +30,17 @@ def run_increment(
 def run_csv_bootstrap(
     spark: SparkSession, csv_path: str, cursor_path: str, max_rows: int | None = None, **sink
 ) -> DataFrame:
-    """Publish a CSV export and save the cursor after it; ``run_increment`` goes on from there."""
-    rows = read_csv(spark, csv_path, max_rows)
-    if max_rows is not None:
-        rows = staged(rows, "csv-rows")  # which rows a limit takes may differ from read to read
+    """Publish a CSV export and save the cursor after it; ``run_increment`` goes on from there.
+
+    The cursor is observed on the rows as they are sent, so the export is read once.  Without a readable
+    change time no cursor is saved.
+    """
+    seen = Observation("csv")
+    rows = read_csv(spark, csv_path, max_rows).observe(seen, changes.csv_last().alias("last"))
     publish(as_messages(rows), **sink)
-    cursor = staged(changes.csv_cursor(rows), "cursor")
-    save_cursor(cursor, cursor_path)
+    last = seen.get["last"]
+    found = [] if last is None else [(last["last_updated_on"], last["last_id"])]
+    cursor = spark.createDataFrame(found, "last_updated_on string, last_id string")
+    if found:
+        save_cursor(cursor, cursor_path)
     return cursor

@@ -29,6 +29,12 @@ def _saved(model: PipelineModel, spark: SparkSession, name: str) -> PipelineMode
     return PipelineModel.load(path)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: the forest passes over the rows once per level of its trees."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "ID")
+
+
 def prepare(processed: DataFrame, task: Task, fraction: float = learning.SAMPLE_FRACTION) -> DataFrame:
     """Sampled feature frame with collapsed locations and the training mark.
 
@@ -63,7 +69,7 @@ def train(
     frame = prepare(processed, task, fraction)
     if task.classes is not None:
         frame = frame.withColumn("label", F.col(task.target).cast("double"))
-    fitted = learning.pipeline(task, usable_categories(frame), forest).fit(frame.filter("is_train"))
+    fitted = learning.pipeline(task, usable_categories(frame), forest).fit(_spread(frame.filter("is_train")))
     model = _saved(fitted, spark, f"{task.name}-model")
     labels = learning.class_labels(model, task)
 
@@ -106,6 +112,23 @@ def prediction_table(training: Training, task: Task) -> DataFrame:
     return training.predictions.select(*learning.CONTEXT, *task.outputs, "prob_array")
 
 
+def scored_sample(training: Training, task: Task, rows: int = 20) -> DataFrame:
+    """A few scored rows to look at."""
+    shown = ["crime_datetime", "District", "location_category", "crime_hour", "crime_day_of_week", "crime_month"]
+    if task.classes is None:
+        return candidate_table(training).select(
+            *shown, "crime_category", "predicted_crime_category", "top3_candidates"
+        ).limit(rows)
+    return training.predictions.select(
+        *shown,
+        "Location Description",
+        "is_domestic_incident",
+        "predicted_is_domestic",
+        "predicted_domestic_str",
+        "prob_domestic",
+    ).limit(rows)
+
+
 def candidate_table(training: Training) -> DataFrame:
     """Predictions with the three likeliest classes."""
     return training.predictions.withColumn(

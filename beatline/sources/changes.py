@@ -159,17 +159,28 @@ def next_cursor(taken: DataFrame, cursor: DataFrame) -> DataFrame:
     )
 
 
-def csv_cursor(rows: DataFrame, numeric_id: bool = False) -> DataFrame:
-    """Cursor after a CSV export: its greatest change time, to the second, and there the greatest ID.
+def csv_last(numeric_id: bool = False) -> Column:
+    """Aggregate for the cursor after a CSV export: its greatest change time, and there the greatest ID.
 
-    IDs are compared as text, so ``9`` is after ``10``; ``numeric_id`` compares them as numbers.  Without a
-    readable change time the table is empty.
+    IDs are compared as text, so ``9`` is after ``10``; ``numeric_id`` compares them as numbers.  NULL where no
+    row has a readable change time.
     """
     moment = change_time(F.col("Updated On"))
     order = F.col("ID").try_cast("bigint") if numeric_id else F.col("ID")
-    last = rows.filter(moment.isNotNull()).agg(
-        F.max(F.struct(moment.alias("moment"), order.alias("order"), F.col("ID").alias("id"))).alias("last")
-    )
-    return last.filter(F.col("last").isNotNull()).select(
-        iso_text(F.col("last.moment")).alias("last_updated_on"), F.col("last.id").alias("last_id")
+    return F.max(
+        F.when(
+            moment.isNotNull(),
+            F.struct(
+                moment.alias("moment"),
+                order.alias("order"),
+                iso_text(moment).alias("last_updated_on"),
+                F.col("ID").alias("last_id"),
+            ),
+        )
     )
+
+
+def csv_cursor(rows: DataFrame, numeric_id: bool = False) -> DataFrame:
+    """The cursor after a CSV export, to the second; no row where no change time can be read."""
+    last = rows.agg(csv_last(numeric_id).alias("last")).filter(F.col("last").isNotNull())
+    return last.select("last.last_updated_on", "last.last_id")

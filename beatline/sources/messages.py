@@ -3,14 +3,20 @@
 from pyspark.sql import DataFrame, SparkSession
 
 
-def kafka_options(servers: str, topic: str) -> dict[str, str]:
-    """The whole topic from its start, going on if old messages have expired."""
-    return {
+def kafka_options(servers: str, topic: str, messages_per_batch: int | None = None) -> dict[str, str]:
+    """The whole topic from its start, going on if old messages have expired.
+
+    ``messages_per_batch`` drains a large backlog in several batches, so that a failure repeats only one.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
+    if messages_per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(messages_per_batch)
+    return options
 
 
 def read_messages(

@@ -69,6 +69,14 @@ def test_csv_cursor_compares_ids_as_text(spark):
     assert changes.csv_cursor(table(spark, [(None, "1")])).count() == 0
 
 
+def test_csv_without_change_times_saves_no_cursor(spark, tmp_path):
+    (tmp_path / "export.csv").write_text("ID,Updated On\n1,\n2,soon\n")
+    sink = {"sink_format": "parquet", "path": f"{tmp_path}/sent"}
+    at = extract.run_csv_bootstrap(spark, f"{tmp_path}/export.csv", f"{tmp_path}/cursor", max_rows=1, **sink)
+    assert at.count() == 0 and spark.read.parquet(f"{tmp_path}/sent").count() == 1
+    assert changes.load_cursor(spark, f"{tmp_path}/cursor").first()["last_id"] == "0"
+
+
 def test_typed_change_time_reaches_the_scan(spark, tmp_path):
     typed = table(spark, FOUR).withColumn("Updated On", F.col("Updated On").cast("timestamp"))
     typed.write.parquet(f"{tmp_path}/t")

@@ -127,3 +127,9 @@ def test_histogram(spark):
     assert sum(bins.values()) == 101 and set(bins) == set(range(50)) and bins[49] == 3
     same = spark.createDataFrame([(0.5,), (0.5,)], "prob_domestic double")
     assert [tuple(r) for r in model_reports.probability_histogram(same).collect()] == [(0, 2)]
+
+
+def test_scored_sample(trained):
+    task, result = trained
+    shown = training.scored_sample(result, task, rows=5)
+    assert shown.count() == 5 and "ID" not in shown.columns

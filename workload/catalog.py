@@ -563,6 +563,11 @@ def probability_histogram(spark, sf_dir):
     return model_reports.probability_histogram(_predictions(spark, sf_dir))
 
 
+@_query
+def probability_sample(spark, sf_dir):
+    return model_reports.sample_probabilities(_predictions(spark, sf_dir))
+
+
 @_query
 def model_metrics(spark, sf_dir):
     judged, counts = _domestic_confusion(spark, sf_dir)

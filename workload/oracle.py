@@ -542,6 +542,9 @@ boundaries AS (
             """SELECT CAST(least(floor((prob_domestic - lo) / (hi - lo) * 50), 49) AS INTEGER) AS bin, count(*) AS n
                FROM predictions, b GROUP BY 1""",
         ),
+        "probability_sample": _with(
+            PREDICTIONS, f"SELECT prob_domestic AS prob FROM predictions WHERE {_fraction(0)} < 0.01"
+        ),
         "model_metrics": _with(
             PREDICTIONS
             + """,
