@@ -2,20 +2,17 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Incident times carry no zone, so they are read and shown in UTC.  The JVM does not compile methods of more
-# than 8000 bytes of code; beyond that Spark does better without joining operators into one method.
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
+# Incident times carry no zone, so they are read and shown in UTC.
+SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """The settings that results and speed rely on, for a session built elsewhere."""
+    """The settings that results rely on, for a session built elsewhere."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -45,9 +42,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="beatline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"beatline-{application}-")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
