@@ -10,7 +10,7 @@ def write_processed(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE
     """Replace the processed table, one folder per year.
 
     Rebalancing by year lets adaptive execution give a large year many tasks and put small years
-    together, so files are neither many and tiny nor one per year.
+    together, so files are neither many and tiny nor one per year.  It needs ``spark.sql.adaptive.enabled``.
     """
     (
         df.hint("rebalance", F.col("Year"))

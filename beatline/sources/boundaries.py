@@ -15,6 +15,9 @@ _COLLECTION = T.StructType(
 
 
 def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
-    """One row per feature with its ``properties`` as a map; the geometry is not read."""
+    """One row per feature with its ``properties`` as a map; the geometry is not read.
+
+    A feature collection is one JSON value, so one task reads each file.
+    """
     collection = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
     return collection.select(F.explode("features").alias("feature")).select("feature.properties")

@@ -5,6 +5,7 @@ and ``last_id`` of a one-row table.  Records are ordered by change time, then ID
 time is after no cursor and never taken.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from beatline import schema
@@ -38,8 +39,8 @@ def load_cursor(spark: SparkSession, path: str) -> DataFrame:
     """The cursor saved last; before the first save, the start cursor."""
     try:
         saved = spark.read.schema(schema.CURSOR_SCHEMA).parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return start_cursor(spark)
     return or_start(saved.agg(F.max_by(F.struct("last_updated_on", "last_id"), "saved_at").alias("c")).select("c.*"))
@@ -129,7 +130,11 @@ def first_page(df: DataFrame, cursor: DataFrame, size: int = PAGE_SIZE) -> DataF
 
 
 def _last_step(df: DataFrame, step: Column, size: int):
-    """The step at which the rows counted in order of steps reach ``size``; None if they never do."""
+    """The step at which the rows counted in order of steps reach ``size``; None if they never do.
+
+    The running count goes over one row per step in one task.  That is a row per day first, then fewer than
+    ``size`` rows and the seconds of one day, then fewer than ``size`` rows and the ID blocks of one second.
+    """
     running = F.sum("n").over(Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     counts = df.groupBy(step.alias("step")).agg(F.count("*").alias("n"))
     return (

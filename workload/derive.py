@@ -121,7 +121,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(event % 2 == 0, api_text)
         .otherwise(titles)
     )
-    return raw.select("event_id", F.col("ID").alias("key"), value.alias("value"))
+    return raw.select(F.col("Description").alias("kind"), F.col("ID").alias("key"), value.alias("value"))
 
 
 def derived_predictions(processed: DataFrame) -> DataFrame:
