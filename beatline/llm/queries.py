@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import mixing, sharding
+from beatline.llm import decontamination, mixing, sharding
 from beatline.llm.columns import space_words
 from beatline.session import staged
 
@@ -26,6 +26,22 @@ def op3_jump_shards(spark, sf_dir):
     return sharding.shard_rows(documents, 24).drop("text")
 
 
+@_query
+def op9_benchmark_passages(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_passages(documents, table(spark, sf_dir, "benchmark"))
+    n_hit = decontamination.hit_words()
+    ids = F.concat_ws(",", F.sort_array(F.transform("hit_items", lambda item: item.cast("string"))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 @_query
 def op10_mix_sources(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")

@@ -34,3 +34,38 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
     (least(floor(rank * rate + shift) - floor((rank - 1) * rate + shift), ceil(rate)) * size)::BIGINT AS taken
 FROM ranked
 """
+
+STATEMENTS["op9_benchmark_passages"] = r"""
+WITH document_words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), item_places AS (
+    SELECT item_id, words, least(10, len(words)) AS width, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS place
+    FROM item_words WHERE len(words) > 0
+), item_windows AS (
+    SELECT DISTINCT item_id, width, array_to_string(words[place:place + width - 1], ' ') AS string FROM item_places
+), places AS (
+    SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS place
+    FROM document_words, (SELECT DISTINCT width FROM item_windows) WHERE len(words) >= width
+), windows AS (
+    SELECT doc_id, width, place, array_to_string(words[place:place + width - 1], ' ') AS string FROM places
+), hits AS (
+    SELECT w.doc_id, w.place, w.width, i.item_id FROM windows w JOIN item_windows i USING (width, string)
+), hit_words AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(place, place + width)) AS word FROM hits) GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM document_words d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
