@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import decontamination, mixing, sharding
+from beatline.llm import decontamination, mixing, secrets, sharding
 from beatline.llm.columns import space_words
 from beatline.session import staged
 
@@ -26,6 +26,24 @@ def op3_jump_shards(spark, sf_dir):
     return sharding.shard_rows(documents, 24).drop("text")
 
 
+@_query
+def op5_secret_ownership(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+    def spans(kind: str):
+        return F.filter("base", lambda s: s["kind"] == kind)
+
+    live = F.filter("all_spans", lambda s: s["live"])
+    return found.select(
+        "doc_id",
+        *(F.size(spans(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.written(F.col("all_spans")).alias("spans"),
+        F.size(live).cast("long").alias("n_live"),
+        (F.size("all_spans") - F.size(live)).cast("long").alias("n_copied"),
+    )
+
+
 @_query
 def op9_benchmark_passages(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
