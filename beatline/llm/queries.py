@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import decontamination, mixing, secrets, sharding
+from beatline.llm import decontamination, extraction, mixing, secrets, sharding
 from beatline.llm.columns import space_words
 from beatline.session import staged
 
@@ -44,6 +44,11 @@ def op5_secret_ownership(spark, sf_dir):
     )
 
 
+@_query
+def op6_main_text(spark, sf_dir):
+    return extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @_query
 def op9_benchmark_passages(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
