@@ -24,3 +24,9 @@ def space_words(text: Column) -> Column:
 def digest_of(*columns: Column) -> Column:
     """MD5 of the columns' texts, an order that has nothing to do with the values."""
     return F.md5(F.concat_ws("/", *(F.coalesce(c.cast("string"), F.lit("")) for c in columns)))
+
+
+def id_remainder(id_column: Column, divisor: int) -> Column:
+    """CRC-32 of an ID written as text, modulo ``divisor``; a NULL ID counts as an empty text."""
+    written = F.coalesce(id_column.cast("string"), F.lit(""))
+    return F.crc32(written.cast("binary")) % F.lit(divisor)

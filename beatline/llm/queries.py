@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import decontamination, extraction, mixing, secrets, sharding
-from beatline.llm.columns import space_words
+from beatline.llm import decontamination, extraction, languages, mixing, secrets, sharding
+from beatline.llm.columns import id_remainder, space_words
 from beatline.session import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_hyperdimensional_language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    profiles = languages.learn(documents.where(~held_out))
+    return languages.identify(documents, profiles, keep=("doc_id", held_out.alias("held_out")))
+
+
 @_query
 def op3_jump_shards(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
