@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import decontamination, extraction, languages, mixing, secrets, sharding
+from beatline.llm import decontamination, extraction, languages, mixing, secrets, sharding, toxicity
 from beatline.llm.columns import id_remainder, space_words
 from beatline.session import staged
 
@@ -34,6 +34,21 @@ def op3_jump_shards(spark, sf_dir):
     return sharding.shard_rows(documents, 24).drop("text")
 
 
+@_query
+def op4_toxic_segments(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    scored = toxicity.score(documents, table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "significance",
+        F.size("segments").alias("n_segments"),
+    )
+
+
 @_query
 def op5_secret_ownership(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
