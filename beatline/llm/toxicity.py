@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beatline.llm.columns import digest_of
-from beatline.llm.words import Words, slices, text_words
+from beatline.llm.words import Texts, Words, heads, slices, text_words
 from beatline.session import staged
 
 # The model is fitted on at most so many labelled documents, chosen by a digest of their IDs.
@@ -20,6 +20,8 @@ PRIOR_SHARE = 0.05
 LEAST_Z = 4.0
 # What a neutral token takes from a passage, in log-odds.
 DRIFT = 0.1
+# A word without a score of its own takes that of its first letters, if they have one.
+HEAD = 4
 # Width and number of the bins that turn a document's significance into a probability.
 BIN, BINS = 0.5, 200
 
@@ -50,43 +52,50 @@ def labelled(labels: DataFrame, label: str, key: str = "doc_id", most: int = MOS
 
 
 def _count(text: str, label: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["head", "token", "toxic", "clean"]
     for batch in batches:
-        held: dict[int, list[np.ndarray]] = {0: [], 1: []}
+        held: dict[tuple[bool, bool], list[np.ndarray]] = {}
         for rows, texts in slices(batch, text):
             words = text_words(texts)
             toxic = np.asarray(rows.column(label))[words.owners()] == 1
-            held[1].append(words.hashes[toxic])
-            held[0].append(words.hashes[~toxic])
-        for side, parts in held.items():
-            if parts:
-                tokens, counts = np.unique(np.concatenate(parts), return_counts=True)
-                sides = [np.zeros(len(tokens), dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)]
-                sides[side] = counts
-                columns = [pa.array(tokens.view(np.int64)), pa.array(sides[1]), pa.array(sides[0])]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "toxic", "clean"])
+            for head, tokens in ((False, words.hashes), (True, heads(texts, words, HEAD))):
+                for side in (False, True):
+                    chosen = tokens[toxic == side]
+                    held.setdefault((head, side), []).append(chosen[chosen != 0] if head else chosen)
+        for (head, side), parts in held.items():
+            tokens, counts = np.unique(np.concatenate(parts), return_counts=True)
+            none = np.zeros(len(tokens), dtype=np.int64)
+            sides = (counts, none) if side else (none, counts)
+            columns = [pa.array(np.full(len(tokens), head)), pa.array(tokens.view(np.int64)), *map(pa.array, sides)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def learn_scores(documents: DataFrame, text: str, label: str) -> Model:
     """Log-odds of each token between toxic and other documents, with an informative Dirichlet prior.
 
-    The prior of a token is its share of all tokens times ``PRIOR_SHARE`` of their number.  Only tokens whose log-odds are
-    ``LEAST_Z`` standard errors from 0 keep a score, the ``LEXICON`` most certain ones; that table alone leaves the cluster.
+    Tokens are words and, counted apart, the first letters of longer words.  The prior of a token is its share of all
+    tokens times ``PRIOR_SHARE`` of their number.  Only tokens whose log-odds are ``LEAST_Z`` standard errors from 0 keep a
+    score, the ``LEXICON`` most certain ones; that table alone leaves the cluster.
     """
     counts = documents.select(text, label).mapInArrow(
-        lambda batches: _count(text, label, batches), "token bigint, toxic bigint, clean bigint"
+        lambda batches: _count(text, label, batches), "head boolean, token bigint, toxic bigint, clean bigint"
     )
-    tokens = staged(counts.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "tokens")
-    totals = tokens.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
-    toxic, clean = totals["toxic"] or 0, totals["clean"] or 0
-    if not toxic or not clean:
+    sides = ("toxic", "clean")
+    tokens = staged(counts.groupBy("head", "token").agg(*(F.sum(side).alias(side) for side in sides)), "tokens")
+    totals = {row["head"]: row for row in tokens.groupBy("head").agg(*(F.sum(side).alias(side) for side in sides)).collect()}
+    if False not in totals or not totals[False]["toxic"] or not totals[False]["clean"]:
         return Model(np.zeros(0, dtype=np.uint64), np.zeros(0), 1.0)
-    mass = PRIOR_SHARE * (toxic + clean)
+
+    def total(side: str) -> Column:
+        by_kind = [float(totals[head][side]) if head in totals else 1.0 for head in (True, False)]
+        return F.when(F.col("head"), F.lit(by_kind[0])).otherwise(F.lit(by_kind[1]))
+
+    mass = (total("toxic") + total("clean")) * F.lit(PRIOR_SHARE)
     prior = (F.col("toxic") + F.col("clean")) * F.lit(PRIOR_SHARE)
-    with_prior = {side: F.col(side) + prior for side in ("toxic", "clean")}
-    odds = {side: x / (F.lit(float(n) + mass) - x) for (side, x), n in zip(with_prior.items(), (toxic, clean), strict=True)}
-    scored = tokens.withColumn("odds", F.log(odds["toxic"]) - F.log(odds["clean"]))
-    scored = scored.withColumn("z", F.col("odds") / F.sqrt(1 / with_prior["toxic"] + 1 / with_prior["clean"]))
-    scored = scored.withColumn("share", with_prior["clean"] / F.lit(clean + mass))
+    toxic, clean = ((F.col(side) + prior) for side in sides)
+    odds = F.log(toxic / (total("toxic") + mass - toxic)) - F.log(clean / (total("clean") + mass - clean))
+    scored = tokens.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / toxic + 1 / clean))
+    scored = scored.withColumn("share", clean / (total("clean") + mass))
     certain = scored.where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "token").limit(LEXICON)
     rows = certain.select("token", "odds", "share").toPandas()
     hashes = rows["token"].to_numpy(np.int64).view(np.uint64)
@@ -137,15 +146,25 @@ def maximal_segments(scores: list[float], starts: list[int], ends: list[int]) ->
     return [(start, end, right - left) for start, end, left, right in found]
 
 
-def text_segments(words: Words, model: Model) -> list[list[tuple[int, int, float]]]:
+def _token_scores(texts: Texts, words: Words, model: Model) -> np.ndarray:
+    """The score of each word; NaN for neutral ones."""
+    out = np.full(len(words.hashes), np.nan)
+    for tokens in (words.hashes, heads(texts, words, HEAD)):
+        place = np.minimum(np.searchsorted(model.tokens, tokens), len(model.tokens) - 1)
+        found = (model.tokens[place] == tokens) & np.isnan(out)
+        out[found] = model.scores[place[found]]
+    return out
+
+
+def text_segments(texts: Texts, words: Words, model: Model) -> list[list[tuple[int, int, float]]]:
     """The segments of each text; runs of neutral tokens count as one item, which changes no segment."""
     out: list[list[tuple[int, int, float]]] = [[] for _ in range(len(words.bounds) - 1)]
     if not len(model.tokens) or not len(words.hashes):
         return out
-    place = np.minimum(np.searchsorted(model.tokens, words.hashes), len(model.tokens) - 1)
-    hit = np.flatnonzero(model.tokens[place] == words.hashes)
+    scores_of = _token_scores(texts, words, model)
+    hit = np.flatnonzero(~np.isnan(scores_of))
     owner = np.searchsorted(words.bounds, hit, side="right") - 1
-    score = model.scores[place[hit]]
+    score = scores_of[hit]
     cuts = np.searchsorted(owner, np.arange(len(out) + 1))
     some = np.zeros(len(out), dtype=bool)
     some[owner[score > 0]] = True
@@ -168,7 +187,7 @@ def _segments(text: str, names: list[str], model: Model, batches: Iterator[pa.Re
     for batch in batches:
         for rows, texts in slices(batch, text):
             words = text_words(texts)
-            found = [[{"start": a, "end": b, "score": s} for a, b, s in x] for x in text_segments(words, model)]
+            found = [[{"start": a, "end": b, "score": s} for a, b, s in x] for x in text_segments(texts, words, model)]
             made = {
                 "n_tokens": pa.array(words.counts(), type=pa.int64()),
                 "segments": pa.array(found, type=pa.list_(_SEGMENT)),

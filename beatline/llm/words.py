@@ -132,6 +132,23 @@ def spaced_words(texts: Texts) -> Words:
     return _words(texts, _IS_SPACED)
 
 
+def heads(texts: Texts, words: Words, letters: int) -> np.ndarray:
+    """A hash of the first ``letters`` code points of each word, 0 for words that are no longer than that.
+
+    It never equals the hash of a word with the same letters but by chance.
+    """
+    if not len(words.starts):
+        return np.zeros(0, dtype=np.uint64)
+    leads = np.flatnonzero((texts.data & 0xC0) != 0x80)
+    at = np.searchsorted(leads, words.starts) + letters
+    ends = np.append(leads, len(texts.data))[np.minimum(at, len(leads))]
+    longer = ends < words.ends
+    prefix = np.zeros(len(texts.data) + 1, dtype=np.uint64)
+    np.cumsum((texts.data.astype(np.uint64) + np.uint64(1)) * _powers_of(_FACTOR, len(texts.data)), out=prefix[1:])
+    cut = mixed((prefix[np.where(longer, ends, words.ends)] - prefix[words.starts]) * _powers_of(_INVERSE, len(texts.data))[words.starts])
+    return np.where(longer, mixed(cut ^ np.uint64(_FACTOR)), np.uint64(0))
+
+
 def runs_of(hashes: np.ndarray, length: int) -> np.ndarray:
     """A hash of each run of ``length`` values, by its first place."""
     n = max(0, len(hashes) - length + 1)
