@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import decontamination, extraction, languages, mixing, secrets, sharding, toxicity
+from beatline.llm import decontamination, extraction, fingerprints, languages, mixing, secrets, sharding, toxicity
 from beatline.llm.columns import id_remainder, space_words
 from beatline.session import staged
 
@@ -20,6 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_order_minhash(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = fingerprints.fingerprints(documents)
+    following = {"next_text": "text", "next_signature": "signature"}
+    paired = fingerprints.with_next(own, "doc_id", following, ties=["text"])
+    n_chars = F.char_length("text").cast("long")
+    paired = paired.withColumn("n_chars", n_chars)
+    paired = paired.withColumn("edited", fingerprints.edited(F.col("text"), F.col("n_chars"), F.col("next_text")))
+    both = fingerprints.fingerprints(paired, "edited", "edited_signature")
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.written(F.col("signature")).alias("fingerprint"),
+        fingerprints.written(F.col("edited_signature")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        fingerprints.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
 @_query
 def op2_hyperdimensional_language(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
