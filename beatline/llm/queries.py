@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import chosen_path, decontamination, extraction, fingerprints, languages, mixing, secrets, sharding, toxicity
+from beatline.llm import chosen_path, decontamination, extraction, fingerprints, languages, mixing, scoring, secrets, sharding, toxicity
 from beatline.llm.columns import id_remainder, space_words
 from beatline.session import staged
 
@@ -93,6 +93,15 @@ def op6_main_text(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+@_query
+def op7_recurrent_scores(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    scored = scoring.score(documents, ~held_out)
+    names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), *names)
+
+
 @_query
 def op8_chosen_path_join(spark, sf_dir):
     return chosen_path.join(table(spark, sf_dir, "documents")).drop("digest")
