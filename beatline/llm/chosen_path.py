@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from beatline.llm.columns import on_plain_names
 from beatline.llm.components import connected
 from beatline.llm.words import Texts, mixed, runs_at, runs_of, seeds, slices, text_words, whole_runs
 from beatline.session import staged
@@ -293,11 +294,12 @@ def join(
     levels: int = LEVELS,
     small: int = SMALL,
 ) -> DataFrame:
-    """One row per document: ``key``, ``digest``, ``class_id``, ``n_links`` and ``n_set_links``.
+    """One row per document: ``key``, ``digest``, ``class_id``, ``n_links``, ``n_set_links`` and ``class_digest``.
 
     Two documents are linked if the Jaccard similarity of their sets of ``words`` consecutive words is ``similarity`` or
     more.  ``n_links`` counts the other documents linked to this one, copies too, ``n_set_links`` the different sets;
-    ``class_id`` is the least key of all documents that hang together by links.
+    ``class_id`` is the least key of all documents that hang together by links, ``class_digest`` the least digest (NULL
+    without words), which tells classes apart also if keys repeat.
 
     In each run, every set samples a few of its tokens by a hash of the node, and goes down to the child of each; buckets
     of ``small`` sets or fewer are compared in full.  Runs are repeated until a pair meets with ``target_recall``.  Equal sets are one
@@ -350,6 +352,7 @@ def join(
     classes = classes.select(
         "digest",
         "class_id",
+        F.col("root").alias("class_digest"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("set_links", F.lit(0)).alias("n_set_links"),
     )
@@ -361,4 +364,42 @@ def join(
         F.when(known, F.col("class_id")).otherwise(F.col("key")).alias("class_id"),
         F.when(known, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
         F.when(known, F.col("n_set_links")).otherwise(F.lit(0)).cast("long").alias("n_set_links"),
+        F.when(known, F.col("class_digest")).alias("class_digest"),
     )
+
+
+def _with_digest(text: str, words: int, names: list[str], batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows, texts in slices(batch, text):
+            made = pa.array(digests(*shingle_sets(texts, words)), type=pa.binary())
+            yield pa.RecordBatch.from_arrays([made if n == "digest" else rows.column(n) for n in names], names)
+
+
+def one_of_each(documents: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, **settings) -> DataFrame:
+    """The documents without near copies, with the columns they had: of each class the one with the least key stays.
+
+    Of rows with one key, that with the least digest stays, and of equal rows one.  Documents without words stay.
+    """
+
+    def kept(plain: DataFrame, text_name: str, key_name: str) -> DataFrame:
+        classes = join(plain, text_name, key_name, words=words, **settings).where("class_digest IS NOT NULL")
+        places = classes.groupBy("class_digest", F.col(key_name).alias("key"), "digest").agg(F.count(F.lit(1)).alias("rows"))
+        places = staged(places, "places")
+        first = places.groupBy("class_digest").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "digest")).alias("first"))
+        told = places.join(first, "class_digest").withColumn(
+            "stays", F.col("key").eqNullSafe(F.col("first.key")) & (F.col("digest") == F.col("first.digest"))
+        )
+        told = staged(told.select("key", "digest", "rows", "stays"), "told")
+        schema = plain.withColumn("digest", F.lit(None).cast("binary")).schema
+        marked = plain.mapInArrow(lambda batches: _with_digest(text_name, words, schema.names, batches), schema)
+        gone = told.where(~F.col("stays")).select("key", "digest")
+        same = (marked["digest"] == gone["digest"]) & marked[key_name].eqNullSafe(gone["key"])
+        out = marked.join(gone, same, "left_anti")
+        repeated = told.where(F.col("stays") & (F.col("rows") > 1)).select("key", "digest")
+        if repeated.isEmpty():
+            return out
+        again = (out["digest"] == repeated["digest"]) & out[key_name].eqNullSafe(repeated["key"])
+        single = out.join(repeated, again, "left_semi").dropDuplicates([key_name, "digest"])
+        return out.join(repeated, again, "left_anti").unionByName(single)
+
+    return on_plain_names(documents, kept, text, key)

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from beatline.llm.columns import on_plain_names
 from beatline.llm.words import Texts, Words, runs_at, runs_of, slices, text_words
 
 WINDOW = 10
@@ -189,7 +190,10 @@ def hit_words(spans: str = "hit_spans"):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
 
 
-def without_passages(documents: DataFrame, items: DataFrame, **settings) -> DataFrame:
+def without_passages(documents: DataFrame, items: DataFrame, text: str = "text", **settings) -> DataFrame:
     """The documents that hold no passage of any item, with the columns they had."""
-    found = find_passages(documents, items, **settings).where(F.size("hit_items") == 0)
-    return found.select(*documents.columns)
+
+    def kept(plain: DataFrame, text_name: str) -> DataFrame:
+        return find_passages(plain, items, text_name, **settings).where(F.size("hit_items") == 0)
+
+    return on_plain_names(documents, kept, text)

@@ -1,10 +1,10 @@
 """Mixing sources to target weights by systematic sampling."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from beatline.llm.columns import digest_of
+from beatline.llm.columns import digest_of, on_plain_names
 
 WEIGHTS = (5, 2, 1)
 
@@ -89,7 +89,13 @@ def mix(
     return ranked.withColumn("copies", copies).drop(*inner)
 
 
-def emitted(mixed: DataFrame) -> DataFrame:
-    """Each row as often as the mix takes it, without ``copies``; rows that it does not take are gone."""
-    repeated = mixed.where(F.col("copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.drop("copies", "__copy")
+def mixed_rows(
+    documents: DataFrame, size: Callable[[Column], Column], text: str = "text", key: str = "doc_id", source: str = "source", **settings
+) -> DataFrame:
+    """Each document as often as the mix takes it, with the columns it had; ``size`` is measured on the text."""
+
+    def emitted(plain: DataFrame, text_name: str, key_name: str, source_name: str) -> DataFrame:
+        mixed = mix(plain, size(F.col(text_name)), source_name, (key_name, text_name), **settings)
+        return mixed.where(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+
+    return on_plain_names(documents, emitted, text, key, source)

@@ -58,11 +58,10 @@ def op3_jump_shards(spark, sf_dir):
 @_query
 def op4_toxic_segments(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = id_remainder(F.col("doc_id"), 4) == 2
-    scored = toxicity.score(documents, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(documents, table(spark, sf_dir, "labels"), lambda key: id_remainder(key, 4) != 2)
     return scored.select(
         "doc_id",
-        held_out.alias("held_out"),
+        (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         "significance",
@@ -104,7 +103,7 @@ def op7_recurrent_scores(spark, sf_dir):
 
 @_query
 def op8_chosen_path_join(spark, sf_dir):
-    return chosen_path.join(table(spark, sf_dir, "documents")).drop("digest")
+    return chosen_path.join(table(spark, sf_dir, "documents")).drop("digest", "class_digest")
 
 
 @_query

@@ -1,13 +1,13 @@
 """Toxic passages: maximum-scoring segments of token log-odds, aggregated by extreme-value calibration."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from beatline.llm.columns import digest_of
+from beatline.llm.columns import digest_of, on_plain_names
 from beatline.llm.words import Texts, Words, heads, slices, text_words
 from beatline.session import staged
 
@@ -261,7 +261,7 @@ def _share(pool: list[float], overall: float) -> float:
 def score(
     documents: DataFrame,
     labels: DataFrame,
-    may_learn: Column,
+    may_learn: Callable[[Column], Column],
     text: str = "text",
     key: str = "doc_id",
     label: str = "toxic",
@@ -269,13 +269,13 @@ def score(
 ) -> DataFrame:
     """All columns with ``segments`` (each with its significance), ``significance`` and ``score``, the probability of toxic.
 
-    The model learns from the labelled documents where ``may_learn`` (a condition on ``key``) holds, at most
+    The model learns from the labelled documents whose key ``may_learn`` allows, at most
     ``most_labelled``, which is also the bound of what is broadcast.  A score depends on the text alone; NULL and empty
     texts have no segment and get the probability of documents without one.  Without any label, or with labels of one kind
     only, every score is the share of toxic ones among the labels (0 without any).  Repeated rows are scored each.
     """
-    known = labelled(labels.where(may_learn), label, key, most_labelled)
-    taught = documents.where(may_learn).select(key, text).join(F.broadcast(known), key)
+    known = labelled(labels.where(may_learn(F.col(key))), label, key, most_labelled)
+    taught = documents.where(may_learn(F.col(key))).select(key, text).join(F.broadcast(known), key)
     model = learn_scores(taught.where(F.col(text).isNotNull()), text, label)
     narrow = staged(segments(taught, model, text).select(label, "n_tokens", "segments"), "segments")
     model = calibrate(narrow, label, model)
@@ -285,11 +285,20 @@ def score(
     return found.withColumn("score", probability)
 
 
-def without_toxic(documents: DataFrame, labels: DataFrame, may_learn: Column, threshold: float = 0.3, **settings) -> DataFrame:
+def without_toxic(
+    documents: DataFrame,
+    labels: DataFrame,
+    may_learn: Callable[[Column], Column],
+    threshold: float = 0.3,
+    text: str = "text",
+    key: str = "doc_id",
+    label: str = "toxic",
+) -> DataFrame:
     """The documents whose score is below the threshold, with the columns they had."""
-    scored = score(documents.select(F.struct("*").alias("row"), *_needed(documents, settings)), labels, may_learn, **settings)
-    return scored.where(F.col("score") < threshold).select("row.*")
 
+    def kept(plain: DataFrame, text_name: str, key_name: str) -> DataFrame:
+        known = labels.select(F.col(key).alias(key_name), F.col(label))
+        scored = score(plain, known, may_learn, text_name, key_name, label)
+        return scored.where(F.col("score") < threshold)
 
-def _needed(documents: DataFrame, settings: dict) -> list[Column]:
-    return [documents[settings.get(name, name_of)] for name, name_of in (("key", "doc_id"), ("text", "text"))]
+    return on_plain_names(documents, kept, text, key)
