@@ -18,6 +18,8 @@ LEXICON = 50_000
 # Mass of the Dirichlet prior, as a share of all tokens.
 PRIOR_SHARE = 0.05
 LEAST_Z = 4.0
+# A difference that small is no sign of toxicity, however certain it is in a large corpus.
+LEAST_ODDS = 1.0
 # What a neutral token takes from a passage, in log-odds.
 DRIFT = 0.1
 # A word without a score of its own takes that of its first letters, if they have one.
@@ -74,8 +76,8 @@ def learn_scores(documents: DataFrame, text: str, label: str) -> Model:
     """Log-odds of each token between toxic and other documents, with an informative Dirichlet prior.
 
     Tokens are words and, counted apart, the first letters of longer words.  The prior of a token is its share of all
-    tokens times ``PRIOR_SHARE`` of their number.  Only tokens whose log-odds are ``LEAST_Z`` standard errors from 0 keep a
-    score, the ``LEXICON`` most certain ones; that table alone leaves the cluster.
+    tokens times ``PRIOR_SHARE`` of their number.  Only tokens whose log-odds are ``LEAST_Z`` standard errors
+    and ``LEAST_ODDS`` from 0 keep a score, the ``LEXICON`` most certain ones; that table alone leaves the cluster.
     """
     counts = documents.select(text, label).mapInArrow(
         lambda batches: _count(text, label, batches), "head boolean, token bigint, toxic bigint, clean bigint"
@@ -96,7 +98,7 @@ def learn_scores(documents: DataFrame, text: str, label: str) -> Model:
     odds = F.log(toxic / (total("toxic") + mass - toxic)) - F.log(clean / (total("clean") + mass - clean))
     scored = tokens.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / toxic + 1 / clean))
     scored = scored.withColumn("share", clean / (total("clean") + mass))
-    certain = scored.where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "token").limit(LEXICON)
+    certain = scored.where((F.abs("z") >= LEAST_Z) & (F.abs("odds") >= LEAST_ODDS)).orderBy(F.abs("z").desc(), "token").limit(LEXICON)
     rows = certain.select("token", "odds", "share").toPandas()
     hashes = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
