@@ -29,13 +29,13 @@ class Network:
 
     @classmethod
     def of_counts(cls, counts: np.ndarray, others: float, hidden: int = HIDDEN) -> "Network":
-        """An untrained network whose output is the words' frequencies, whatever came before."""
+        """An untrained network whose output are the shares of the counts, whatever came before."""
         words = CLASSES * CLASS_WORDS
         chance = np.random.default_rng(7)
         padded = np.zeros(words)
         padded[: len(counts)] = counts
         padded = padded.reshape(CLASSES, CLASS_WORDS)
-        masses = np.append(padded.sum(axis=1), others) + 0.5
+        masses = np.maximum(np.append(padded.sum(axis=1), others), 1e-4)
         with np.errstate(divide="ignore"):
             w_bias = np.maximum(np.log(padded) - np.log(masses[:-1, None]), -1e4)
         made = [

@@ -150,7 +150,8 @@ def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "
     words = counts.words < network.CLASSES * network.CLASS_WORDS
     by_number = np.argsort(counts.words[words])
     frequencies = counts.counts[words][by_number]
-    start = Network.of_counts(frequencies, float(counts.tokens - frequencies.sum()))
+    # before it learns, the network gives the base score
+    start = Network.of_counts(frequencies + 1, counts.others_total)
     n = documents.count()
     share = max(TRAIN_SHARE, min(1.0, LEAST_DOCUMENTS / max(1, n)))
     chance = F.conv(F.substring(digest_of(F.col(key)), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
