@@ -16,14 +16,13 @@ MOST_LABELLED = 200_000
 # Tokens with a score of their own; all others are neutral.
 LEXICON = 50_000
 # Mass of the Dirichlet prior, as a share of all tokens.
-PRIOR_SHARE = 0.05
-LEAST_Z = 4.0
-# A difference that small is no sign of toxicity, however certain it is in a large corpus.
-LEAST_ODDS = 1.0
+PRIOR_SHARE = 0.1
+# A smaller difference is no sign of toxicity, however certain it is in a large corpus.
+LEAST_ODDS = 1.2
 # What a neutral token takes from a passage, in log-odds.
 DRIFT = 0.1
-# A word without a score of its own takes that of its first letters, if they have one.
-HEAD = 4
+# A word without a score of its own takes that of its first letters, of as many as have one.
+HEADS = (4,)
 # Width and number of the bins that turn a document's significance into a probability.
 BIN, BINS = 0.5, 200
 
@@ -53,44 +52,56 @@ def labelled(labels: DataFrame, label: str, key: str = "doc_id", most: int = MOS
     return near.orderBy(digest_of(F.col(key)), key).limit(most)
 
 
+def _once(owners: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The tokens, each once per text."""
+    order = np.lexsort((tokens, owners))
+    owners, tokens = owners[order], tokens[order]
+    first = np.ones(len(tokens), dtype=bool)
+    first[1:] = (owners[1:] != owners[:-1]) | (tokens[1:] != tokens[:-1])
+    return tokens[first]
+
+
 def _count(text: str, label: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["head", "token", "toxic", "clean"]
     for batch in batches:
-        held: dict[tuple[bool, bool], list[np.ndarray]] = {}
+        held: dict[tuple[int, bool], list[np.ndarray]] = {}
         for rows, texts in slices(batch, text):
             words = text_words(texts)
             toxic = np.asarray(rows.column(label))[words.owners()] == 1
-            for head, tokens in ((False, words.hashes), (True, heads(texts, words, HEAD))):
+            owners = words.owners()
+            for head in (0, *HEADS):
+                tokens = heads(texts, words, head) if head else words.hashes
                 for side in (False, True):
-                    chosen = tokens[toxic == side]
-                    held.setdefault((head, side), []).append(chosen[chosen != 0] if head else chosen)
+                    chosen = (toxic == side) & (tokens != 0)
+                    held.setdefault((head, side), []).append(_once(owners[chosen], tokens[chosen]))
         for (head, side), parts in held.items():
             tokens, counts = np.unique(np.concatenate(parts), return_counts=True)
             none = np.zeros(len(tokens), dtype=np.int64)
             sides = (counts, none) if side else (none, counts)
-            columns = [pa.array(np.full(len(tokens), head)), pa.array(tokens.view(np.int64)), *map(pa.array, sides)]
+            columns = [pa.array(np.full(len(tokens), head, dtype=np.int32)), pa.array(tokens.view(np.int64)), *map(pa.array, sides)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def learn_scores(documents: DataFrame, text: str, label: str) -> Model:
     """Log-odds of each token between toxic and other documents, with an informative Dirichlet prior.
 
-    Tokens are words and, counted apart, the first letters of longer words.  The prior of a token is its share of all
-    tokens times ``PRIOR_SHARE`` of their number.  Only tokens whose log-odds are ``LEAST_Z`` standard errors
-    and ``LEAST_ODDS`` from 0 keep a score, the ``LEXICON`` most certain ones; that table alone leaves the cluster.
+    Tokens are words and, counted apart, the first letters of longer words, each once per document.  The prior of a token
+    is its share of all tokens times ``PRIOR_SHARE`` of their number.  Only tokens keep a score whose log-odds are ``LEAST_ODDS``
+    from 0 and more standard errors than chance gives to any of so many tokens, the ``LEXICON`` most certain ones; that
+    table alone leaves the cluster.
     """
     counts = documents.select(text, label).mapInArrow(
-        lambda batches: _count(text, label, batches), "head boolean, token bigint, toxic bigint, clean bigint"
+        lambda batches: _count(text, label, batches), "head int, token bigint, toxic bigint, clean bigint"
     )
     sides = ("toxic", "clean")
     tokens = staged(counts.groupBy("head", "token").agg(*(F.sum(side).alias(side) for side in sides)), "tokens")
     totals = {row["head"]: row for row in tokens.groupBy("head").agg(*(F.sum(side).alias(side) for side in sides)).collect()}
-    if False not in totals or not totals[False]["toxic"] or not totals[False]["clean"]:
+    if 0 not in totals or not totals[0]["toxic"] or not totals[0]["clean"]:
         return Model(np.zeros(0, dtype=np.uint64), np.zeros(0), 1.0)
 
     def total(side: str) -> Column:
-        by_kind = [float(totals[head][side]) if head in totals else 1.0 for head in (True, False)]
-        return F.when(F.col("head"), F.lit(by_kind[0])).otherwise(F.lit(by_kind[1]))
+        by_length = F.create_map(*(F.lit(x) for head, row in totals.items() for x in (head, float(row[side]))))
+        return F.element_at(by_length, F.col("head"))
 
     mass = (total("toxic") + total("clean")) * F.lit(PRIOR_SHARE)
     prior = (F.col("toxic") + F.col("clean")) * F.lit(PRIOR_SHARE)
@@ -98,7 +109,9 @@ def learn_scores(documents: DataFrame, text: str, label: str) -> Model:
     odds = F.log(toxic / (total("toxic") + mass - toxic)) - F.log(clean / (total("clean") + mass - clean))
     scored = tokens.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / toxic + 1 / clean))
     scored = scored.withColumn("share", clean / (total("clean") + mass))
-    certain = scored.where((F.abs("z") >= LEAST_Z) & (F.abs("odds") >= LEAST_ODDS)).orderBy(F.abs("z").desc(), "token").limit(LEXICON)
+    # the largest of n normal errors stays below sqrt(2 ln n)
+    chance = float(np.sqrt(2 * np.log(max(2, tokens.count()))))
+    certain = scored.where((F.abs("z") >= chance) & (F.abs("odds") >= LEAST_ODDS)).orderBy(F.abs("z").desc(), "token").limit(LEXICON)
     rows = certain.select("token", "odds", "share").toPandas()
     hashes = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
@@ -151,7 +164,8 @@ def maximal_segments(scores: list[float], starts: list[int], ends: list[int]) ->
 def _token_scores(texts: Texts, words: Words, model: Model) -> np.ndarray:
     """The score of each word; NaN for neutral ones."""
     out = np.full(len(words.hashes), np.nan)
-    for tokens in (words.hashes, heads(texts, words, HEAD)):
+    for head in (0, *HEADS):
+        tokens = heads(texts, words, head) if head else words.hashes
         place = np.minimum(np.searchsorted(model.tokens, tokens), len(model.tokens) - 1)
         found = (model.tokens[place] == tokens) & np.isnan(out)
         out[found] = model.scores[place[found]]
