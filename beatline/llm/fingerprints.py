@@ -7,8 +7,9 @@ from beatline.llm.columns import let
 SKETCHES = 64
 TUPLE = 2
 WORDS = 3
-# A token is a run of at most 16 letters and digits, one sign, or one character of a script without spaces.
-TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]{1,16}|[^\s\p{L}\p{M}\p{N}]"
+# A token is a run of at most 16 characters other than spaces and signs, or one sign, or one character of the scripts from
+# Thai to Lao and from the CJK radicals to the Hangul syllables, which need no spaces.
+TOKEN = r"[^\s\p{P}\p{S}\u0E00-\u0EFF\u2E80-\uD7FF]{1,16}+|\S"
 # Places of k-mers take the lower bits of a packed value; no text that Spark can hold has more tokens.
 _PLACE_BITS = 27
 _PLACES = (1 << _PLACE_BITS) - 1
@@ -80,21 +81,19 @@ def _ranked(by_kmer: Column) -> Column:
 
 
 def _sketches(kmers: Column, ranked: Column, sketches: int, size: int) -> Column:
-    anchors = [F.lit((j * _RANKS // sketches) << _PLACE_BITS) for j in range(sketches)]
-    numbers = F.sequence(F.lit(0), F.lit(sketches - 1))
+    # anchors stand in the order like k-mers, at a place that no k-mer has
+    anchors = F.array(*(F.lit((j * _RANKS // sketches) << _PLACE_BITS | _PLACES) for j in range(sketches)))
     takes = F.sequence(F.lit(0), F.least(F.lit(size), F.size(ranked)) - 1)
+    both = F.sort_array(F.concat(ranked, anchors))
+    marked = F.transform(both, lambda x, i: F.when(x.bitwiseAND(F.lit(_PLACES)) == F.lit(_PLACES), i))
 
-    def sketch(both: Column, anchor_list: Column):
-        def one(j: Column) -> Column:
-            # what stands before the anchor, without the anchors before it
-            begin = F.array_position(both, F.get(anchor_list, j)).cast("int") - 1 - j
-            chosen = F.transform(takes, lambda k: _place(F.get(ranked, (begin + k) % F.size(ranked))))
-            in_order = F.transform(F.sort_array(chosen), lambda place: F.get(kmers, place))
-            return F.aggregate(in_order, F.lit(0).cast("long"), lambda total, kmer: F.xxhash64(total, kmer))
+    def sketch(at: Column, j: Column) -> Column:
+        # what stands before the anchor, without the anchors before it
+        chosen = F.transform(takes, lambda k: _place(F.get(ranked, (at - j + k) % F.size(ranked))))
+        in_order = F.transform(F.sort_array(chosen), lambda place: F.get(kmers, place))
+        return F.aggregate(in_order, F.lit(0).cast("long"), lambda total, kmer: F.xxhash64(total, kmer))
 
-        return F.transform(numbers, one)
-
-    return let(F.array(*anchors), lambda a: let(F.sort_array(F.concat(ranked, a)), lambda both: sketch(both, a)))
+    return F.transform(F.filter(marked, lambda at: at.isNotNull()), sketch)
 
 
 def likeness(a: Column, b: Column) -> Column:
