@@ -1,5 +1,7 @@
 """Order MinHash: document fingerprints that follow the edit distance."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from beatline.llm.columns import let
@@ -107,14 +109,21 @@ def written(signature_: Column) -> Column:
     return F.array_join(F.transform(signature_, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
 
 
-def with_next(df: DataFrame, key: str, columns: dict[str, str], ties: list[str], range_rows: int = 250) -> DataFrame:
+def with_next(
+    df: DataFrame,
+    key: str,
+    columns: dict[str, str],
+    ties: list[str],
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    range_rows: int = 250,
+) -> DataFrame:
     """All rows with ``columns`` (new name to name) of the next row by ``key``; after the last comes the first.
 
     Rows are cut into ranges of the key, of about ``range_rows`` rows but 65 536 ranges at most, and only ordered inside one.
     Ranges hold equally many rows where the keys are spread evenly within 16 times finer steps; one number for each of these,
     a million at most, is all that is broadcast.
-    The first row of each range also stands, as a guest, at the end of the range before, so no row is alone.  ``ties`` order rows
-    of one key; NULL keys come first.  A single row is followed by itself; an empty table gives an empty one.
+    The first row of each range also stands, as a guest, at the end of the range before, so no row is alone.  ``prepare`` may add
+    columns to all rows and guests before they are ordered.  ``ties`` order rows of one key; NULL keys come first.  A single row is followed by itself; an empty table gives an empty one.
     """
     low, high = "__low", "__high"
     value = F.col(key).cast("double")
@@ -139,7 +148,7 @@ def with_next(df: DataFrame, key: str, columns: dict[str, str], ties: list[str],
     guests = placed.join(F.broadcast(firsts), "__bin").where(F.col(key).eqNullSafe(F.col("__key")))
     guests = guests.withColumn("__guest", F.lit(True)).withColumn("__bin", F.col("__host")).select(*placed.columns)
     order = Window.partitionBy("__bin").orderBy("__guest", F.col(key).asc_nulls_first(), *ties)
-    following = placed.unionByName(guests).withColumns({new: F.lead(old).over(order) for new, old in columns.items()})
+    following = prepare(placed.unionByName(guests)).withColumns({new: F.lead(old).over(order) for new, old in columns.items()})
     return following.where(~F.col("__guest")).drop("__step", "__bin", "__guest")
 
 

@@ -23,9 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op1_order_minhash(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = fingerprints.fingerprints(documents)
     following = {"next_text": "text", "next_signature": "signature"}
-    paired = fingerprints.with_next(own, "doc_id", following, ties=["text"])
+    paired = fingerprints.with_next(documents, "doc_id", following, ["text"], fingerprints.fingerprints)
     n_chars = F.char_length("text").cast("long")
     paired = paired.withColumn("n_chars", n_chars)
     paired = paired.withColumn("edited", fingerprints.edited(F.col("text"), F.col("n_chars"), F.col("next_text")))
