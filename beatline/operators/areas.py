@@ -43,13 +43,13 @@ def class_edges(counts: DataFrame) -> DataFrame:
     quantiles = F.percentile(count, F.array(*[F.lit(q) for q in CLASS_QUANTILES]))
     found = counts.agg(
         quantiles.alias("quantiles"),
-        F.min(count).cast("int").alias("least"),
-        F.max(count).cast("int").alias("most"),
+        F.min(count).cast("bigint").alias("least"),
+        F.max(count).cast("bigint").alias("most"),
     )
     least, most = F.col("least"), F.col("most")
-    step = F.greatest(F.lit(1), ((most - least) / CLASS_COUNT).cast("int"))
+    step = F.greatest(F.lit(1), ((most - least) / CLASS_COUNT).cast("bigint"))
     steps = F.transform(F.sequence(F.lit(0), F.lit(CLASS_COUNT - 1)), lambda k: least + k * step)
-    rounded = F.transform("quantiles", lambda q: F.bround(q, 0).cast("int"))
+    rounded = F.transform("quantiles", lambda q: F.bround(q, 0).cast("bigint"))
     edges = F.array_sort(F.array_distinct(rounded))
     return found.select(F.when(F.size(edges) < 3, F.array_append(steps, most)).otherwise(edges).alias("edges"))
 

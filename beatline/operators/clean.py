@@ -21,7 +21,9 @@ def require_columns(df: DataFrame, columns: list[str] = schema.REQUIRED_COLUMNS)
 
 
 def latest_per_id(df: DataFrame) -> DataFrame:
-    """One row per ID: the last by change time, then case number, then date text.
+    """One row per ID: the last by change time, then case number, then date text, then all columns by name.
+
+    The order is total, so the row kept does not depend on files, partitions or repeated tasks.
 
     Each task keeps one row per ID before the shuffle, so an ID with a large share of the rows sends one
     row per task; and columns nobody asks for later are pruned below the window.
@@ -30,6 +32,9 @@ def latest_per_id(df: DataFrame) -> DataFrame:
     if "Updated On" in df.columns:
         order.append(change_time(F.col("Updated On")).desc_nulls_last())
     order += [F.col(c).desc_nulls_last() for c in ("Case Number", "Date") if c in df.columns]
+    # rows that differ in any column have different digests; equal rows may stand for each other
+    rest = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("")) for c in sorted(df.columns)]
+    order.append(F.sha2(F.concat_ws("\u0001", *rest), 256))
     newest_first = Window.partitionBy("ID").orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(newest_first)).filter("_rank = 1").drop("_rank")
 

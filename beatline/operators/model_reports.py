@@ -37,12 +37,23 @@ def confusion_counts(predictions: DataFrame, truth: str, predicted: str) -> Data
 
 
 def confusion_matrix(counts: DataFrame, classes: list) -> DataFrame:
-    """One row per true class, one column per predicted class, in the order given; empty cells are 0."""
+    """One row per true class, one column per predicted class, in the order given; empty cells are 0.
+
+    A class that is not given fails the query, as it would lose its rows.
+    """
+    known = F.col("label").isin(classes) & F.col("prediction").isin(classes)
+    pair = F.concat_ws(" as ", F.col("label").cast("string"), F.col("prediction").cast("string"))
+    checked = F.when(known, F.col("n")).otherwise(
+        F.raise_error(F.concat(F.lit("class outside the given ones: "), pair)).cast("bigint")
+    )
+    cells = [
+        F.coalesce(F.sum(F.when(F.col("prediction") == F.lit(c), F.col("n"))), F.lit(0).cast("bigint")).alias(f"c{i}")
+        for i, c in enumerate(classes)
+    ]
     return (
-        counts.groupBy("label")
-        .pivot("prediction", classes)
-        .agg(F.sum("n"))
-        .na.fill(0)
+        counts.withColumn("n", checked)
+        .groupBy("label")
+        .agg(*cells)
         .orderBy(F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label")))
         .toDF("label", *[f"pred_{i}" for i in range(len(classes))])
     )
@@ -73,8 +84,9 @@ def quality_scores(counts: DataFrame) -> DataFrame:
 
 
 def area_under_roc(predictions: DataFrame, label: str, score: str) -> float:
+    """Exact at any number of different scores; the evaluator's default would put more than a thousand in bins."""
     evaluator = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC"
+        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0
     )
     return evaluator.evaluate(predictions)
 
@@ -104,7 +116,9 @@ def sample_probabilities(
 
 def metric_comparison(runs: DataFrame) -> DataFrame:
     """Metrics of each task's newest run, one row per metric; NULL where a run lacks it."""
-    newest = runs.groupBy("task_type").agg(F.max_by("metrics", "created_at").alias("m"))
+    # runs of one moment are told apart by their metrics, so the choice repeats
+    order = F.struct(F.col("created_at").try_cast("timestamp"), "created_at", "metrics")
+    newest = runs.groupBy("task_type").agg(F.max_by("metrics", order).alias("m"))
     pairs = F.array(*[F.struct(F.lit(name).alias("metric"), F.col(f"m.{name}").alias("score")) for name in METRICS])
     return newest.select("task_type", F.inline(pairs))
 

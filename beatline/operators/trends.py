@@ -112,14 +112,8 @@ def weekday_hour_counts(df: DataFrame, csv_dates_only: bool = False) -> DataFram
 def weekday_hour_matrix(counts: DataFrame) -> DataFrame:
     """Weekdays Monday to Sunday by hours 0-23; a cell without incidents is NULL."""
     order = F.array_position(F.array(*[F.lit(d) for d in times.WEEK_ORDER]), F.col("weekday"))
-    return (
-        counts.filter(F.col("weekday").isNotNull())
-        .groupBy("weekday")
-        .pivot("hour", HOURS)
-        .agg(F.sum("crime_count"))
-        .orderBy(order)
-        .select("weekday", *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS])
-    )
+    cells = [F.sum(F.when(F.col("hour") == h, F.col("crime_count"))).alias(f"h{h:02d}") for h in HOURS]
+    return counts.filter(F.col("weekday").isNotNull()).groupBy("weekday").agg(*cells).coalesce(1).sortWithinPartitions(order)
 
 
 def row_counts(raw: DataFrame, processed: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from beatline.session import staged
 from beatline.sinks.messages import as_messages, publish
 from beatline.sinks.tables import save_cursor
 from beatline.sources import changes
@@ -19,28 +18,36 @@ def run_increment(
     a crash in between sends records again, and the cleaning keeps one of each.
     """
     spark = table.sparkSession
-    saved = changes.start_cursor(spark) if full else changes.load_cursor(spark, cursor_path)
+    saved = changes.fixed(changes.start_cursor(spark) if full else changes.load_cursor(spark, cursor_path))
     changed = changes.incremental_load(table, saved, lookback_hours)
-    until = staged(changes.next_cursor(changed, saved), "cursor")
+    until = changes.fixed(changes.next_cursor(changed, saved))
     publish(as_messages(changes.changes_until(changed, until), keep_nulls=False), **sink)
     save_cursor(until, cursor_path)
     return until
 
 
 def run_csv_bootstrap(
-    spark: SparkSession, csv_path: str, cursor_path: str, max_rows: int | None = None, **sink
+    spark: SparkSession,
+    csv_path: str,
+    cursor_path: str,
+    max_rows: int | None = None,
+    multi_line: bool = False,
+    numeric_id: bool = False,
+    table: DataFrame | None = None,
+    **sink,
 ) -> DataFrame:
-    """Publish a CSV export and save the cursor after it; ``run_increment`` goes on from there.
+    """Publish a CSV export and save the cursor after it; ``run_increment`` goes on from there, at once if ``table`` is given.
 
     The cursor is observed on the rows as they are sent, so the export is read once.  Without a readable
-    change time no cursor is saved.
+    change time no cursor is saved.  An export without IDs is sent under row numbers.
     """
     seen = Observation("csv")
-    rows = read_csv(spark, csv_path, max_rows).observe(seen, changes.csv_last().alias("last"))
+    rows = read_csv(spark, csv_path, max_rows, multi_line)
+    rows = rows.observe(seen, changes.csv_last(rows.columns, numeric_id).alias("last"))
     publish(as_messages(rows), **sink)
     last = seen.get["last"]
     found = [] if last is None else [(last["last_updated_on"], last["last_id"])]
     cursor = spark.createDataFrame(found, "last_updated_on string, last_id string")
     if found:
         save_cursor(cursor, cursor_path)
-    return cursor
+    return cursor if table is None else run_increment(table, cursor_path, **sink)

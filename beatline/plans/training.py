@@ -19,6 +19,7 @@ class Training:
     labels: list[str]
     predictions: DataFrame
     run: DataFrame
+    dropped_features: list[str]
 
 
 def _saved(model: PipelineModel, spark: SparkSession, name: str) -> PipelineModel:
@@ -55,7 +56,7 @@ def train(
     fraction: float = learning.SAMPLE_FRACTION,
     forest: dict | None = None,
 ) -> Training:
-    """Fit on the training rows and score the others.
+    """Fit on the training rows and score the others; the run names the text features with too many values.
 
     The sample, the model and the scored rows are each written once; fitting, counts and metrics read them.
     """
@@ -63,7 +64,9 @@ def train(
     frame = prepare(processed, task, fraction)
     if task.classes is not None:
         frame = frame.withColumn("label", F.col(task.target).cast("double"))
-    fitted = learning.pipeline(task, usable_categories(frame), forest).fit(frame.filter("is_train"))
+    usable = usable_categories(frame)
+    dropped = [c for c in learning.CATEGORICAL if c not in usable]
+    fitted = learning.pipeline(task, usable, forest).fit(frame.filter("is_train"))
     model = _saved(fitted, spark, f"{task.name}-model")
     labels = learning.class_labels(model, task)
 
@@ -94,11 +97,12 @@ def train(
                 counts.get(False, 0),
                 importances,
                 fraction,
+                dropped,
             )
         ],
         schema.RUN_SCHEMA,
     )
-    return Training(model, labels, scored, run)
+    return Training(model, labels, scored, run, dropped)
 
 
 def prediction_table(training: Training, task: Task) -> DataFrame:

@@ -124,5 +124,6 @@ RUN_SCHEMA = T.StructType(
         T.StructField("test_records", T.LongType()),
         T.StructField("feature_importance", IMPORTANCE_TYPE),
         T.StructField("sample_fraction", T.DoubleType()),
+        T.StructField("dropped_features", T.ArrayType(T.StringType())),
     ]
 )

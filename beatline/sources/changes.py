@@ -1,8 +1,8 @@
 """Changed records of a table since a cursor.
 
-A cursor is the pair (change time, numeric ID) of the last record taken, kept as text in ``last_updated_on``
-and ``last_id`` of a one-row table.  Records are ordered by change time, then ID; a record without a change
-time is after no cursor and never taken.
+A cursor is the pair (change time, ID) of the last record taken, kept as text in ``last_updated_on`` and
+``last_id`` of a one-row table.  Records are ordered by change time, then ID: numbers first, by value, then other
+IDs as text, of which a missing one is the first.  A record without a change time is after no cursor and never taken.
 """
 
 from pyspark.errors import AnalysisException
@@ -25,8 +25,15 @@ def _time_column(df: DataFrame, column: str) -> Column:
     return change_time(F.col(column)) if is_text else F.col(column).cast("timestamp")
 
 
+def _id_place(id_text: Column) -> Column:
+    """Place of an ID among the records of one change time."""
+    number = id_text.try_cast("bigint")
+    other = F.when(number.isNull(), F.coalesce(id_text.cast("string"), F.lit("")))
+    return F.struct(number.isNull().alias("other"), number.alias("number"), other.alias("text"))
+
+
 def _keys(df: DataFrame) -> tuple[Column, Column]:
-    return _time_column(df, "Updated On"), F.col("ID").try_cast("bigint")
+    return _time_column(df, "Updated On"), _id_place(F.col("ID"))
 
 
 def start_cursor(spark: SparkSession) -> DataFrame:
@@ -54,6 +61,12 @@ def or_start(cursor: DataFrame) -> DataFrame:
     )
 
 
+def fixed(cursor: DataFrame) -> DataFrame:
+    """The one-row cursor as a constant, computed now: what it was made from may change or go."""
+    row = cursor.select("last_updated_on", "last_id").first()
+    return cursor.sparkSession.createDataFrame([tuple(row)], "last_updated_on string, last_id string")
+
+
 def look_back(cursor: DataFrame, hours: int) -> DataFrame:
     """The cursor moved back some hours, before every ID; where its time cannot be read it stays."""
     if hours <= 0:
@@ -68,11 +81,11 @@ def look_back(cursor: DataFrame, hours: int) -> DataFrame:
 
 def _position(cursor: DataFrame) -> tuple[Column, Column]:
     """Time and ID of a one-row cursor, for use in a condition on another table."""
-    number = F.coalesce(F.col("last_id").try_cast("bigint"), F.lit(0).cast("bigint"))
+    place = _id_place(F.coalesce("last_id", F.lit(START_ID)))
     position = cursor.select(
-        F.struct(change_time(F.col("last_updated_on")).alias("moment"), number.alias("number"))
+        F.struct(change_time(F.col("last_updated_on")).alias("moment"), place.alias("place"))
     ).scalar()
-    return position.getField("moment"), position.getField("number")
+    return position.getField("moment"), position.getField("place")
 
 
 def changes_after(df: DataFrame, cursor: DataFrame) -> DataFrame:
@@ -80,17 +93,17 @@ def changes_after(df: DataFrame, cursor: DataFrame) -> DataFrame:
 
     The first condition alone bounds the change time, so it can reach the scan of a typed table.
     """
-    moment, number = _keys(df)
-    last_moment, last_number = _position(cursor)
-    return df.filter(moment >= last_moment).filter((moment > last_moment) | (number > last_number))
+    moment, place = _keys(df)
+    last_moment, last_place = _position(cursor)
+    return df.filter(moment >= last_moment).filter((moment > last_moment) | (place > last_place))
 
 
 def changes_until(df: DataFrame, cursor: DataFrame) -> DataFrame:
-    """Records up to and including the cursor."""
-    moment, number = _keys(df)
-    last_moment, last_number = _position(cursor)
+    """Records up to and including the cursor, and those of its time whose ID is missing."""
+    moment, place = _keys(df)
+    last_moment, last_place = _position(cursor)
     return df.filter(moment <= last_moment).filter(
-        (moment < last_moment) | number.isNull() | (number <= last_number)
+        (moment < last_moment) | F.col("ID").isNull() | (place <= last_place)
     )
 
 
@@ -104,16 +117,19 @@ def incremental_load(df: DataFrame, cursor: DataFrame, lookback_hours: int = 0)
 
 
 def first_page(df: DataFrame, cursor: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
-    """The first ``size`` records after the cursor, in order.
+    """About the first ``size`` records after the cursor, in order.
+
+    A page ends with all records that share the change time and ID of its last one, so that the next page, which
+    begins after that pair, misses none; only such ties make it longer than ``size``.
 
     Counts by day, then second, then block of IDs narrow the records to little more than the page before
     anything is sorted, so the sort stays small even if one day or one second holds most of the changes.
     Each count leaves one value, which bounds the next scan.
     """
-    keyed = changes_after(df, cursor).withColumns(dict(zip(("_moment", "_number"), _keys(df))))
+    keyed = changes_after(df, cursor).withColumns(dict(zip(("_moment", "_place"), _keys(df))))
     second = F.unix_seconds("_moment")
     no_number = F.lit(2**62)  # records without a numeric ID come last
-    block = F.coalesce(F.shiftright("_number", _ID_BLOCK_BITS), no_number)
+    block = F.coalesce(F.shiftright("_place.number", _ID_BLOCK_BITS), no_number)
 
     last_day = _last_step(keyed, F.floor(second / _DAY), size)
     if last_day is not None:
@@ -122,18 +138,18 @@ def first_page(df: DataFrame, cursor: DataFrame, size: int = PAGE_SIZE) -> DataF
         keyed = keyed.filter(F.col("_moment") < F.timestamp_seconds(F.lit(last_second + 1)))
         _, last_block = _last_step(keyed, F.struct(second.alias("second"), block.alias("block")), size)
         keyed = keyed.filter((second < last_second) | (block <= last_block))
-    return (
-        keyed.orderBy("_moment", F.col("_number").asc_nulls_last())
-        .limit(size)
-        .drop("_moment", "_number")
-    )
+        key = F.struct("_moment", "_place")
+        last_key = keyed.select(key.alias("key")).orderBy("key").limit(size).agg(F.max("key").alias("key")).scalar()
+        keyed = keyed.filter(key <= last_key)
+    return keyed.orderBy("_moment", "_place").drop("_moment", "_place")
 
 
 def _last_step(df: DataFrame, step: Column, size: int):
     """The step at which the rows counted in order of steps reach ``size``; None if they never do.
 
-    The running count goes over one row per step in one task.  That is a row per day first, then fewer than
-    ``size`` rows and the seconds of one day, then fewer than ``size`` rows and the ID blocks of one second.
+    The running count goes over one row per step in one task.  That is a row per day first, then the seconds
+    of the days up to there, then the ID blocks of the seconds up to there: fewer than ``size`` rows and what the last
+    of them holds, a row per record at most where IDs are sparse.
     """
     running = F.sum("n").over(Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     counts = df.groupBy(step.alias("step")).agg(F.count("*").alias("n"))
@@ -145,41 +161,47 @@ def _last_step(df: DataFrame, step: Column, size: int):
     )
 
 
+def _exact_text(moment: Column) -> Column:
+    """Change time as text, to the microsecond where it has a fraction."""
+    whole = F.unix_micros(moment) % 1_000_000 == 0
+    return F.when(whole, iso_text(moment)).otherwise(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
 def next_cursor(taken: DataFrame, cursor: DataFrame) -> DataFrame:
     """Cursor after the records taken; a part that no record has keeps its value."""
-    moment, number = _keys(taken)
+    moment, place = _keys(taken)
     is_text = taken.schema["Updated On"].dataType.typeName() == "string"
-    text = F.col("Updated On") if is_text else iso_text(moment)
+    text = F.col("Updated On") if is_text else _exact_text(moment)
+    known = F.col("ID").isNotNull()
     last = taken.agg(
         F.max(F.struct(moment.alias("moment"), text.alias("text"))).getField("text").alias("text"),
-        F.max(F.when(number.isNotNull(), F.struct(moment.alias("moment"), number.alias("number"))))
-        .getField("number")
-        .cast("string")
-        .alias("number"),
+        F.max(F.when(known, F.struct(moment.alias("moment"), place.alias("place")))).getField("place").alias("place"),
     )
     old = or_start(cursor).select(F.struct("last_updated_on", "last_id")).scalar()
+    last_id = F.coalesce(F.col("place.number").cast("string"), F.col("place.text"), old.getField("last_id"))
     return last.select(
-        F.coalesce("text", old.getField("last_updated_on")).alias("last_updated_on"),
-        F.coalesce("number", old.getField("last_id")).alias("last_id"),
+        F.coalesce("text", old.getField("last_updated_on")).alias("last_updated_on"), last_id.alias("last_id")
     )
 
 
-def csv_last(numeric_id: bool = False) -> Column:
+def csv_last(columns: list[str], numeric_id: bool = False) -> Column:
     """Aggregate for the cursor after a CSV export: its greatest change time, and there the greatest ID.
 
-    IDs are compared as text, so ``9`` is after ``10``; ``numeric_id`` compares them as numbers.  NULL where no
-    row has a readable change time.
+    The change time is in ``Updated On`` or ``updated_on``.  IDs are compared as text, so ``9`` is after ``10``;
+    ``numeric_id`` compares them as numbers; an export without IDs gives the start ID.  NULL where no row has a
+    readable change time.
     """
-    moment = change_time(F.col("Updated On"))
-    order = F.col("ID").try_cast("bigint") if numeric_id else F.col("ID")
+    named = next((c for c in ("Updated On", "updated_on") if c in columns), None)
+    moment = change_time(F.col(named) if named else F.lit(None).cast("string"))
+    number = F.col("ID") if "ID" in columns else F.lit(START_ID)
     return F.max(
         F.when(
             moment.isNotNull(),
             F.struct(
                 moment.alias("moment"),
-                order.alias("order"),
+                (number.try_cast("bigint") if numeric_id else number).alias("order"),
                 iso_text(moment).alias("last_updated_on"),
-                F.col("ID").alias("last_id"),
+                number.alias("last_id"),
             ),
         )
     )
@@ -187,5 +209,5 @@ def csv_last(numeric_id: bool = False) -> Column:
 
 def csv_cursor(rows: DataFrame, numeric_id: bool = False) -> DataFrame:
     """The cursor after a CSV export, to the second; no row where no change time can be read."""
-    last = rows.agg(csv_last(numeric_id).alias("last")).filter(F.col("last").isNotNull())
+    last = rows.agg(csv_last(rows.columns, numeric_id).alias("last")).filter(F.col("last").isNotNull())
     return last.select("last.last_updated_on", "last.last_id")

@@ -14,7 +14,7 @@ def latest_runs(runs: DataFrame, task_type: str, limit: int = 20) -> DataFrame:
     return (
         runs.filter(F.col("task_type") == task_type)
         .withColumn("created_at_ts", F.col("created_at").try_cast("timestamp"))
-        .orderBy(F.desc("created_at"))
+        .orderBy(F.desc_nulls_last("created_at_ts"), F.desc("created_at"), F.desc("metrics"))
         .limit(limit)
     )
 

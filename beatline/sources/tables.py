@@ -18,13 +18,15 @@ def read_csv(
 ) -> DataFrame:
     """A CSV export with a header, every column text, empty fields as empty text.
 
-    Quotes inside a field are doubled.  ``multi_line`` allows line breaks inside quoted fields; such files
+    Quotes inside a field are doubled.  Files whose header differs from the first one's fail rather than mix up their
+    columns: read each layout by itself.  ``multi_line`` allows line breaks inside quoted fields; such files
     cannot be split over tasks, so it is off unless asked for.
     """
     rows = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("enforceSchema", False)
         .csv(path)
         .na.fill("")
     )

@@ -133,3 +133,25 @@ def test_scored_sample(trained):
     task, result = trained
     shown = training.scored_sample(result, task, rows=5)
     assert shown.count() == 5 and "ID" not in shown.columns
+
+
+def test_class_outside_the_list_fails(spark):
+    counts = spark.createDataFrame([(0.0, 0.0, 5), (0.0, 2.0, 7)], "label double, prediction double, n bigint")
+    with pytest.raises(Exception, match="outside the given"):
+        model_reports.confusion_matrix(counts, [0.0, 1.0]).collect()
+
+
+def test_area_under_roc_is_exact_beyond_a_thousand_scores(spark):
+    from random import Random
+
+    draw = Random(1)
+    scores = [(float(draw.random() < p), p) for p in (i / 6000 for i in range(6000))]
+    walked, negatives, wins = 0, 0, 0.0
+    for label, _ in sorted(scores, key=lambda x: -x[1]):
+        if label:
+            walked += 1
+        else:
+            negatives += 1
+            wins += walked
+    frame = spark.createDataFrame(scores, "label double, p double")
+    assert model_reports.area_under_roc(frame, "label", "p") == pytest.approx(wins / walked / negatives, abs=1e-12)

@@ -152,3 +152,15 @@ def test_enrich_keeps_every_clean_row_with_a_date(raw):
     enriched = features.enrich(table)
     assert enriched.count() == 50
     assert enriched.filter("risk_score < 1 or risk_score > 10").count() == 0
+
+
+def test_latest_per_id_repeats_whatever_the_order(spark):
+    from beatline.operators.clean import latest_per_id
+
+    rows = [("1", "C", "d", flag, ward) for flag in ("true", "false", None) for ward in ("1", "2")]
+    kept = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        for parts in (1, 4):
+            frame = spark.createDataFrame(order, "ID string, `Case Number` string, Date string, Arrest string, Ward string")
+            kept.add(tuple(latest_per_id(frame.repartition(parts)).first()))
+    assert len(kept) == 1

@@ -1,6 +1,7 @@
 """Registered queries by name; each takes the session and a folder of tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -8,7 +9,7 @@ from beatline import schema
 from beatline.functions import times
 from beatline.operators import areas, clean, features, learning, model_reports, quality, trends
 from beatline.plans import etl, extract, reports, training
-from beatline.session import apply_settings, staging_path
+from beatline.session import apply_settings, staged, staging_path
 from beatline.sinks import messages as message_sink, tables as table_sink
 from beatline.sources import boundaries, changes, messages as message_source, runs, tables
 from beatline.streaming import ingest
@@ -274,6 +275,14 @@ def choropleth_bins(spark, sf_dir):
     return edges.select(F.posexplode("edges").alias("position", "edge"))
 
 
+@_query
+def choropleth_bins_large(spark, sf_dir):
+    """Counts of a table a thousand million times as large."""
+    counts = areas.area_counts(_processed(spark, sf_dir))
+    edges = areas.class_edges(counts.withColumn("crime_count", F.col("crime_count") * F.lit(10**9)))
+    return edges.select(F.posexplode("edges").alias("position", "edge"))
+
+
 @_query
 def choropleth_classes(spark, sf_dir):
     return _map_tables(spark, sf_dir)["areas"]
@@ -390,6 +399,36 @@ def keyset_page(spark, sf_dir):
     return changes.first_page(source, _half_cursor(spark, source), size=1000).select("ID", "Updated On")
 
 
+@_query
+def keyset_pages_union(spark, sf_dir):
+    """Page after page of a source with ties and IDs that are no numbers: all records with a change time."""
+    event = F.col("event_id")
+    hour = F.concat(F.substring("Updated On", 1, 13), F.lit(":00:00.000"))
+    source = derive.raw_incidents(spark, sf_dir).select(
+        F.when(event % 50 == 0, F.concat(F.lit("x"), event % 7)).otherwise(F.col("ID")).alias("ID"),
+        "Case Number",
+        F.when(event % 59 != 9, hour).alias("Updated On"),
+    )
+    source = staged(source, "source")
+    cursor, pages = changes.start_cursor(spark), []
+    size = source.count() // 3 + 1
+    while True:
+        page = staged(changes.first_page(source, cursor, size), "page")
+        if page.isEmpty():
+            return reduce(DataFrame.unionByName, pages, page)
+        pages.append(page)
+        cursor = changes.fixed(changes.next_cursor(page, cursor))
+
+
+@_query
+def dedup_ties(spark, sf_dir):
+    """Every record twice with different flags and no change time: the choice still repeats."""
+    raw = _raw(spark, sf_dir).withColumn("Updated On", F.lit(None).cast("string")).where(F.col("ID").isNotNull())
+    flags = F.array(F.lit(None).cast("string"), F.lit("true"))
+    copies = raw.drop("Arrest").withColumn("Arrest", F.explode(flags)).select(*raw.columns)
+    return clean.latest_per_id(copies).select("ID", "Case Number", "Arrest")
+
+
 @_query
 def next_cursor(spark, sf_dir):
     source = _source(spark, sf_dir)
@@ -408,6 +447,34 @@ def csv_bootstrap(spark, sf_dir):
     return cursor.select(sent.scalar().alias("rows_sent"), "last_updated_on", "last_id")
 
 
+@_query
+def csv_bootstrap_no_id(spark, sf_dir):
+    """An export without IDs whose change time has its API name."""
+    folder = staging_path(spark, "csv")
+    rows = _raw(spark, sf_dir).drop("ID").withColumnRenamed("Updated On", "updated_on")
+    rows.write.option("header", True).option("escape", '"').csv(f"{folder}/export")
+    cursor = extract.run_csv_bootstrap(
+        spark, f"{folder}/export", f"{folder}/cursor", sink_format="parquet", path=f"{folder}/published"
+    )
+    sent = spark.read.parquet(f"{folder}/published").agg(F.count_distinct("key").alias("n"))
+    return cursor.select(sent.scalar().alias("rows_sent"), "last_updated_on", "last_id")
+
+
+@_query
+def increment_runs_typed(spark, sf_dir):
+    """Three increments over a typed change time with fractions of seconds: each record is sent once, the last too."""
+    folder = staging_path(spark, "increments")
+    moment = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 1000 * 1000)
+    source = derive.events(spark, sf_dir).select(F.col("event_id").cast("string").alias("ID"), moment.alias("Updated On"))
+    middle = source.agg(F.percentile_approx("Updated On", 0.5)).scalar()
+    for table in (source.where(F.col("Updated On") <= middle), source, source):
+        extract.run_increment(table, f"{folder}/cursor", sink_format="parquet", path=f"{folder}/published")
+    sent = spark.read.parquet(f"{folder}/published").agg(F.count("*").alias("n"))
+    return changes.load_cursor(spark, f"{folder}/cursor").select(
+        sent.scalar().alias("messages"), "last_updated_on", "last_id"
+    )
+
+
 @_query
 def increment_runs(spark, sf_dir):
     """A first increment over half the records, then one over all: each record is sent once."""
@@ -558,6 +625,14 @@ def confusion_matrix(spark, sf_dir):
     return model_reports.confusion_matrix(counts, [0.0, 1.0])
 
 
+@_query
+def confusion_matrix_crime_type(spark, sf_dir):
+    counts = model_reports.confusion_counts(
+        _predictions(spark, sf_dir), "crime_category", "predicted_crime_category"
+    )
+    return model_reports.confusion_matrix(counts, derive.CRIME_CLASSES)
+
+
 @_query
 def probability_histogram(spark, sf_dir):
     return model_reports.probability_histogram(_predictions(spark, sf_dir))
@@ -625,6 +700,7 @@ def _run_documents(spark, sf_dir):
         F.lit(0).cast("bigint").alias("test_records"),
         importance.alias("feature_importance"),
         F.lit(learning.SAMPLE_FRACTION).alias("sample_fraction"),
+        F.array().cast("array<string>").alias("dropped_features"),
     )
     path = staging_path(spark, "runs")
     table_sink.append_run(documents, path)

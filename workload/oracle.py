@@ -247,11 +247,11 @@ areas AS (
 ),
 quantiles AS (
   SELECT quantile_cont(crime_count, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS q,
-    CAST(min(crime_count) AS INTEGER) AS mn, CAST(max(crime_count) AS INTEGER) AS mx FROM areas
+    CAST(min(crime_count) AS BIGINT) AS mn, CAST(max(crime_count) AS BIGINT) AS mx FROM areas
 ),
 rounded AS (
-  SELECT list_sort(list_distinct([CAST(round_even(x, 0) AS INTEGER) FOR x IN q])) AS edges, mn, mx,
-    greatest(1, CAST(trunc((mx - mn) / 5) AS INTEGER)) AS step
+  SELECT list_sort(list_distinct([CAST(round_even(x, 0) AS BIGINT) FOR x IN q])) AS edges, mn, mx,
+    greatest(1, CAST(trunc((mx - mn) / 5) AS BIGINT)) AS step
   FROM quantiles
 ),
 classes AS (
@@ -317,6 +317,19 @@ _MATRIX_COLUMNS = ",\n    ".join(
 )
 
 
+# Records whose change time is cut to the hour, some without a numeric ID: many ties.
+TIED = CHANGES.replace('"Updated On" END AS "Updated On") FROM raw', """substr("Updated On", 1, 13) || ':00:00.000' END AS "Updated On",
+    CASE WHEN event_id % 50 = 0 THEN 'x' || (event_id % 7) ELSE "ID" END AS "ID") FROM raw""")
+
+LARGE_AREAS = AREAS.replace("count(*) AS crime_count", "count(*) * 1000000000 AS crime_count")
+
+# Every record twice, once without its flag and both without a change time, so only the last resort tells them apart.
+_RAW_NAMES = sorted(["ID", "Case Number", "Date", "Block", "IUCR", "Primary Type", "Description", "Location Description",
+                     "Arrest", "Domestic", "Beat", "District", "Ward", "Community Area", "FBI Code", "X Coordinate",
+                     "Y Coordinate", "Year", "Updated On", "Latitude", "Longitude", "Location"])
+_DIGEST = "sha256(" + " || chr(1) || ".join(f"""coalesce('=' || CAST("{c}" AS VARCHAR), '')""" for c in _RAW_NAMES) + ")"
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
@@ -439,6 +452,10 @@ boundaries AS (
         "choropleth_bins": _with(
             AREAS, "SELECT CAST(generate_subscripts(edges, 1) - 1 AS INTEGER) AS position, unnest(edges) AS edge FROM classes"
         ),
+        "choropleth_bins_large": _with(
+            LARGE_AREAS,
+            "SELECT CAST(generate_subscripts(edges, 1) - 1 AS INTEGER) AS position, unnest(edges) AS edge FROM classes",
+        ),
         "choropleth_classes": _with(
             AREAS,
             """SELECT community_area, crime_count, CAST(greatest(1, least(len(list_distinct(edges)) - 1,
@@ -487,6 +504,32 @@ boundaries AS (
         ),
         "keyset_page": _with(CHANGES, f"SELECT \"ID\", \"Updated On\" FROM ({_AFTER_CURSOR}) JOIN "
                              "(SELECT \"Case Number\", u, n FROM keyed) USING (\"Case Number\") ORDER BY u, n LIMIT 1000"),
+        "keyset_pages_union": _with(TIED, 'SELECT "ID", "Case Number", "Updated On" FROM keyed WHERE u IS NOT NULL'),
+        "dedup_ties": _with(
+            RAW
+            + f""",
+copies AS (
+  SELECT * REPLACE (CAST(NULL AS VARCHAR) AS "Updated On", unnest([NULL, 'true']) AS "Arrest") FROM raw
+  WHERE "ID" IS NOT NULL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY "ID"
+    ORDER BY "Case Number" DESC NULLS LAST, "Date" DESC NULLS LAST, {_DIGEST}) AS place
+  FROM copies
+)""",
+            'SELECT "ID", "Case Number", "Arrest" FROM ranked WHERE place = 1',
+        ),
+        "increment_runs_typed": """SELECT count(*) AS messages,
+              CASE WHEN max(t) = date_trunc('second', max(t)) THEN strftime(max(t), '%Y-%m-%dT%H:%M:%S')
+                   ELSE strftime(max(t), '%Y-%m-%dT%H:%M:%S.%f') END AS last_updated_on,
+              CAST(max_by(event_id, (t, event_id)) AS VARCHAR) AS last_id
+            FROM (SELECT event_id, ts + to_milliseconds(event_id % 1000) AS t FROM events)""",
+        "csv_bootstrap_no_id": _with(
+            RAW,
+            """SELECT (SELECT count(*) FROM raw) AS rows_sent,
+                 strftime(max(try_strptime("Updated On", '%Y-%m-%dT%H:%M:%S.%g')), '%Y-%m-%dT%H:%M:%S') AS last_updated_on,
+                 '0' AS last_id FROM raw""",
+        ),
         "next_cursor": _with(
             CHANGES,
             """SELECT "Updated On" AS last_updated_on, CAST(n AS VARCHAR) AS last_id FROM keyed, cur
@@ -537,6 +580,14 @@ boundaries AS (
                  count(*) FILTER (predicted_is_domestic = 1) AS pred_1
                FROM predictions WHERE is_domestic_incident IS NOT NULL GROUP BY 1""",
         ),
+        "confusion_matrix_crime_type": _with(
+            PREDICTIONS,
+            "SELECT crime_category AS label, "
+            + ", ".join(
+                f"count(*) FILTER (predicted_crime_category = '{c}') AS pred_{i}" for i, c in enumerate(CRIME_CLASSES)
+            )
+            + " FROM predictions GROUP BY 1",
+        ),
         "probability_histogram": _with(
             PREDICTIONS + ",\nb AS (SELECT min(prob_domestic) AS lo, max(prob_domestic) AS hi FROM predictions)",
             """SELECT CAST(least(floor((prob_domestic - lo) / (hi - lo) * 50), 49) AS INTEGER) AS bin, count(*) AS n
