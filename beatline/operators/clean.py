@@ -26,7 +26,7 @@ def latest_per_id(df: DataFrame) -> DataFrame:
     The order is total, so the row kept does not depend on files, partitions or repeated tasks.
 
     Each task keeps one row per ID before the shuffle, so an ID with a large share of the rows sends one
-    row per task; and columns nobody asks for later are pruned below the window.
+    row per task; columns nobody asks for later are read for the digest only and pruned below the shuffle.
     """
     order = []
     if "Updated On" in df.columns:
