@@ -161,7 +161,9 @@ def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "
     weights = start.flat()
     for i in range(ROUNDS):
         part = sample.where(F.floor(F.col("chance") / share * ROUNDS) == i)
-        part = part.repartition(replicas, "key").sortWithinPartitions("key", "text").select("text")
+        # a replica is a range of its own, however many partitions there are
+        part = part.withColumn("replica", F.pmod(F.xxhash64("key"), F.lit(replicas)))
+        part = part.repartitionByRange(replicas, "replica").sortWithinPartitions("replica", "key", "text").select("text")
         trained = part.mapInArrow(
             lambda batches, weights=weights: _train("text", counts, weights, start, batches),
             "chunk int, tokens bigint, weights binary",
