@@ -63,3 +63,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Staging:
+    """Staged tables of one job by name, so that each can go when it is used up."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows written and read back; a name used before is freed for the new table."""
+        old = self.paths.pop(name, None)
+        path = self.paths[name] = staging_path(self.spark, name)
+        df.write.parquet(path)
+        if old:
+            discard(self.spark, old)
+        return self.spark.read.parquet(path)
+
+    def drop(self, *names: str) -> None:
+        discard(self.spark, *(self.paths.pop(name) for name in names if name in self.paths))
