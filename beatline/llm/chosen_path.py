@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from beatline.llm.columns import on_plain_names
 from beatline.llm.components import connected
 from beatline.llm.words import Texts, mixed, runs_at, runs_of, seeds, slices, text_words, whole_runs
-from beatline.session import staged
+from beatline.session import Staging, staged
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -250,7 +250,7 @@ def _links(similarity: float, batches) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict(out, schema=schema)
 
 
-def _leaves(rows: DataFrame, levels: int, small: int) -> DataFrame:
+def _leaves(rows: DataFrame, levels: int, small: int, staging: Staging) -> DataFrame:
     """(leaf, digest) of buckets with two sets or more; copies count once.
 
     A bucket of more than ``small`` sets is left for its children, down to the last level, whose buckets are all leaves.
@@ -263,25 +263,31 @@ def _leaves(rows: DataFrame, levels: int, small: int) -> DataFrame:
             nodes = nodes.join(large.select(F.col("leaf").alias("parent")), "parent", "left_semi").drop("parent")
         else:
             nodes = nodes.select("digest", F.col("node").alias("leaf"))
-        nodes = staged(nodes.distinct(), "nodes")
+        nodes = staging.write(nodes.distinct(), f"nodes{level}")
         sizes = nodes.groupBy("leaf").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-        large = staged(sizes.where(F.col("sets") > small), "buckets") if level < levels - 1 else sizes.limit(0)
-        last = sizes if level == levels - 1 else sizes.where(F.col("sets") <= small)
-        found = nodes.join(last.select("leaf"), "leaf", "left_semi")
+        if level < levels - 1:
+            sizes = staging.write(sizes, f"buckets{level}")
+            large = sizes.where(F.col("sets") > small)
+            sizes = sizes.where(F.col("sets") <= small)
+        found = nodes.join(sizes.select("leaf"), "leaf", "left_semi")
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """The rows of each leaf in blocks, each with every block of the leaf; a leaf of one block is one bucket."""
+    """The (leaf, digest, size) in blocks, each with every block of its leaf; a leaf of one block is one bucket."""
     sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("sets") / F.lit(BLOCK_SETS), F.col("shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
     with_blocks = rows.join(sizes.select("leaf", blocks.alias("blocks")), "leaf")
     side = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     dealt = with_blocks.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
-    keys = ("leaf", "low", "high")
-    return dealt.drop("other", "blocks").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.select("leaf", "low", "high", "side", "digest")
+
+
+def _bucketed(dealt: DataFrame) -> DataFrame:
+    """The rows of each bucket one after the other."""
+    return dealt.repartition("leaf", "low", "high").sortWithinPartitions("leaf", "low", "high")
 
 
 def join(
@@ -318,31 +324,35 @@ def join(
         lambda batches: _summaries("text", "key", runs, similarity, levels, words, batches),
         f"key {key_type}, digest binary, size bigint, sketch binary{nodes}",
     )
-    rows = staged(rows, "summaries")
+    staging = Staging(documents.sparkSession)
+    rows = staging.write(rows, "summaries")
     filled = rows.where("size > 0")
-    leaves = staged(_leaves(filled, levels, small), "leaves")
+    leaves = staging.write(_leaves(filled, levels, small, staging), "leaves")
+    staging.drop(*(f"{name}{level}" for name in ("nodes", "buckets") for level in range(levels)))
     own = leaves.groupBy("digest").agg(F.collect_list("leaf").alias("leaves"))
     # equal sets have equal sizes, sketches and leaves
     sets = filled.groupBy("digest").agg(
         F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"), F.max("size").alias("size"), F.max("sketch").alias("sketch")
     )
-    sets = staged(sets, "sets")
-    about = sets.join(own, "digest")
-    compared = leaves.join(about.select("digest", "size", "sketch", "leaves"), "digest")
-    alike = _dealt(compared).select("leaf", "low", "high", "side", "digest", "size", "sketch", "leaves")
-    alike = alike.mapInArrow(lambda batches: _plausible(similarity, batches), "leaf bigint, digest binary")
-    alike = staged(alike.distinct(), "alike")
-    wanted = alike.select("digest").distinct().join(sets.select("digest", "least"), "digest")
+    sets = staging.write(sets, "sets")
+    rows = staging.write(rows.select("key", "digest", "size"), "rows")
+    staging.drop("summaries")
+    about = staging.write(sets.drop("least").join(own, "digest"), "about")
+    compared = _dealt(leaves.join(about.select("digest", "size"), "digest")).join(about.drop("copies"), "digest")
+    alike = _bucketed(compared).mapInArrow(lambda batches: _plausible(similarity, batches), "leaf bigint, digest binary")
+    alike = staging.write(alike.distinct(), "alike")
+    wanted = staging.write(alike.select("digest").distinct().join(sets.select("digest", "least"), "digest"), "wanted")
     wanted_keys = wanted.select(F.col("least").alias("key")).distinct()
     texts = kept.join(wanted_keys, kept["key"].eqNullSafe(wanted_keys["key"]), "left_semi").select("text")
     members = texts.mapInArrow(lambda batches: _sets("text", words, batches), "digest binary, members binary")
     members = members.join(wanted.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.max("members").alias("members"))
-    exact = alike.join(about.select("digest", "size", "copies", "leaves"), "digest").join(members, "digest")
-    exact = _dealt(exact).select("leaf", "low", "high", "side", "digest", "copies", "leaves", "members")
-    links = exact.mapInArrow(
+    exact = _dealt(alike.join(about.select("digest", "size"), "digest"))
+    exact = exact.join(members.join(about.drop("size", "sketch"), "digest"), "digest")
+    links = _bucketed(exact).mapInArrow(
         lambda batches: _links(similarity, batches), "digest binary, links bigint, set_links bigint, root binary"
     )
-    links = staged(links, "links")
+    links = staging.write(links, "links")
+    staging.drop("leaves", "alike", "wanted", "about")
     roots = connected(links.select(F.col("digest").alias("a"), F.col("root").alias("b")))
     counted = links.groupBy("digest").agg(F.sum("links").alias("links"), F.sum("set_links").alias("set_links"))
     hung = sets.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
@@ -356,7 +366,7 @@ def join(
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("set_links", F.lit(0)).alias("n_set_links"),
     )
-    out = rows.select("key", "digest", "size").join(classes, "digest", "left")
+    out = rows.join(classes, "digest", "left")
     known = F.col("size") > 0
     return out.select(
         F.col("key").alias(key),
