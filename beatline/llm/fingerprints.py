@@ -132,7 +132,8 @@ def with_next(
     low_value = span[low] if span[low] is not None else 0.0
     width = max((span[high] or 0.0) - low_value, 1.0)
     steps = 16 * bins
-    step = F.coalesce(F.least(F.floor((value - F.lit(low_value)) / F.lit(width) * F.lit(steps)), F.lit(steps - 1)), F.lit(-1))
+    step = F.least(F.floor((value - F.lit(low_value)) / F.lit(width) * F.lit(steps)), F.lit(steps - 1))
+    step = F.when(value.isNull(), F.lit(-1)).otherwise(step)
     counts = df.select(step.alias("__step")).groupBy("__step").agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.orderBy("__step").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
