@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from beatline.sources.changes import saved_cursors
+
 # Fixed value: most rows in one file of the processed table.
 ROWS_PER_FILE = 500_000
 
@@ -36,11 +38,13 @@ def append_run(run: DataFrame, path: str | None = None, sink_format: str = "parq
 
 
 def save_cursor(cursor: DataFrame, path: str) -> None:
-    """Add the cursor to its history; the last one saved counts.
+    """Add the cursor to its history under the next number; the one with the highest number counts.
 
     A crash between data and cursor repeats records rather than losing them, and a crash while saving leaves
     the cursor before it.
     """
-    cursor.select("last_updated_on", "last_id", F.current_timestamp().alias("saved_at")).coalesce(
-        1
-    ).write.mode("append").parquet(path)
+    last = saved_cursors(cursor.sparkSession, path).agg(F.coalesce(F.max("sequence"), F.lit(0))).first()[0]
+    numbered = cursor.select(
+        "last_updated_on", "last_id", F.current_timestamp().alias("saved_at"), F.lit(last + 1).cast("long").alias("sequence")
+    )
+    numbered.coalesce(1).write.mode("append").parquet(path)

@@ -42,15 +42,21 @@ def start_cursor(spark: SparkSession) -> DataFrame:
     )
 
 
-def load_cursor(spark: SparkSession, path: str) -> DataFrame:
-    """The cursor saved last; before the first save, the start cursor."""
+def saved_cursors(spark: SparkSession, path: str) -> DataFrame:
+    """All cursors saved at the path, none before the first save."""
     try:
-        saved = spark.read.schema(schema.CURSOR_SCHEMA).parquet(path)
+        return spark.read.schema(schema.CURSOR_SCHEMA).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return start_cursor(spark)
-    return or_start(saved.agg(F.max_by(F.struct("last_updated_on", "last_id"), "saved_at").alias("c")).select("c.*"))
+        return spark.createDataFrame([], schema.CURSOR_SCHEMA)
+
+
+def load_cursor(spark: SparkSession, path: str) -> DataFrame:
+    """The cursor saved last, by its number in the sequence; before the first save, the start cursor."""
+    order = F.struct(F.coalesce("sequence", F.lit(0)), "saved_at")
+    newest = F.max_by(F.struct("last_updated_on", "last_id"), order)
+    return or_start(saved_cursors(spark, path).agg(newest.alias("c")).select("c.*"))
 
 
 def or_start(cursor: DataFrame) -> DataFrame:
