@@ -164,3 +164,32 @@ def test_latest_per_id_repeats_whatever_the_order(spark):
             frame = spark.createDataFrame(order, "ID string, `Case Number` string, Date string, Arrest string, Ward string")
             kept.add(tuple(latest_per_id(frame.repartition(parts)).first()))
     assert len(kept) == 1
+
+
+def test_staged_tables_go_when_dropped(spark):
+    import os
+
+    from beatline.session import Staging, shared_folder
+
+    staging = Staging(spark)
+    first = staging.write(spark.range(3), "numbers")
+    path = staging.paths["numbers"]
+    assert first.count() == 3 and path.startswith(shared_folder(spark))
+    second = staging.write(first.where("id > 0"), "numbers")
+    assert second.count() == 2 and not os.path.exists(path)
+    path = staging.paths["numbers"]
+    staging.drop("numbers", "never written")
+    assert not os.path.exists(path)
+
+
+def test_increments_leave_only_their_results(spark, tmp_path):
+    import os
+
+    from beatline.plans import extract
+    from beatline.session import shared_folder
+
+    rows = spark.createDataFrame([("2025-01-01T00:00:00.000", "9")], "`Updated On` string, ID string")
+    folder = f"{shared_folder(spark)}/beatline"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    extract.run_increment(rows, f"{tmp_path}/cursor", sink_format="parquet", path=f"{tmp_path}/sent")
+    assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == before
