@@ -569,6 +569,25 @@ def ml_domestic_predictions(spark, sf_dir):
     return spark.read.parquet(path).drop("probability")
 
 
+@_query
+def ml_test_rows(spark, sf_dir):
+    """Which rows are scored, and their truth: what does not depend on the forest."""
+    trained = _trained(spark, sf_dir, learning.CRIME_TYPE)
+    return training.prediction_table(trained, learning.CRIME_TYPE).select("ID", "crime_category")
+
+
+@_query
+def ml_label_index(spark, sf_dir):
+    labels = _trained(spark, sf_dir, learning.CRIME_TYPE).labels
+    return spark.createDataFrame(list(enumerate(labels)), "position bigint, label string")
+
+
+@_query
+def ml_run_counts(spark, sf_dir):
+    run = _trained(spark, sf_dir, learning.CRIME_TYPE).run
+    return run.select("model_type", "task_type", "label_col", "training_records", "test_records", "sample_fraction")
+
+
 @_query
 def ml_candidates(spark, sf_dir):
     trained = _trained(spark, sf_dir, learning.CRIME_TYPE)

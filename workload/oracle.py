@@ -552,6 +552,18 @@ ranked AS (
         "ml_feature_frame": _with(FRAME, "SELECT * FROM frame"),
         "ml_sample": _with(SAMPLE, 'SELECT "ID" FROM sampled'),
         "ml_split": _with(SAMPLE, f'SELECT "ID", {_fraction(1)} < 0.8 AS is_train FROM sampled'),
+        "ml_test_rows": _with(SAMPLE, f'SELECT "ID", crime_category FROM sampled WHERE NOT {_fraction(1)} < 0.8'),
+        "ml_label_index": _with(
+            SAMPLE,
+            f"""SELECT row_number() OVER (ORDER BY count(*) DESC, crime_category) - 1 AS position, crime_category AS label
+                FROM sampled WHERE {_fraction(1)} < 0.8 GROUP BY 2""",
+        ),
+        "ml_run_counts": _with(
+            SAMPLE,
+            f"""SELECT 'RandomForestClassifier' AS model_type, 'crime_type_prediction' AS task_type,
+                  'crime_category' AS label_col, count(*) FILTER ({_fraction(1)} < 0.8) AS training_records,
+                  count(*) FILTER (NOT {_fraction(1)} < 0.8) AS test_records, 0.7::DOUBLE AS sample_fraction FROM sampled""",
+        ),
         "top_location_descriptions": _with(SAMPLE, "SELECT * FROM top20"),
         "location_topn_collapse": _with(SAMPLE, 'SELECT "ID", "loc_desc_topN" FROM collapsed'),
         "categorical_cardinality": _with(
