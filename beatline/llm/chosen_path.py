@@ -16,10 +16,11 @@ WORDS = 5
 SIMILARITY = 0.8
 LEVELS = 3
 TARGET_RECALL = 0.999
-# What one task compares at once. Buckets of no more different sets are compared in full, larger ones are split on a
-# further token, and those that are large after the last are dealt out as pairs of blocks.
+# What one task compares at once; larger buckets are dealt out as pairs of blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 2_000_000
-SMALL = BLOCK_SETS
+# Buckets of up to four blocks are compared in full, larger ones are split on a further token while there is a level left.
+# A group of near copies does not split, so splitting it early only makes more buckets of it.
+SMALL = 4 * BLOCK_SETS
 # A set's smallest hashes, for a first comparison. Sets that are similar share at least 0.8 of the smallest hashes of
 # both on average; asking for less than half of that loses one pair in ten million.
 SKETCH, SKETCH_SHARE = 32, 0.375
