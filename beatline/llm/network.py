@@ -1,5 +1,6 @@
 """A gated recurrent language model in numpy, with a class-factored output softmax."""
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -7,8 +8,10 @@ import numpy as np
 HIDDEN = 24
 CLASSES, CLASS_WORDS = 64, 64
 WINDOW = 16
-_LANES, _TRAIN_LANES = 2048, 64
-_RATE, _CLIP = 5e-3, 1.0
+_LANES = 2048
+# Lanes in training: as many as leave so many steps, between these bounds.
+_STEPS, _LEAST_LANES, _MOST_LANES = 200, 16, 256
+_RATE, _CLIP = 1e-2, 1.0
 
 
 @dataclass
@@ -140,6 +143,22 @@ def _log_probabilities(net: Network, states: np.ndarray, targets: np.ndarray) ->
     return value.astype(np.float64)
 
 
+def _lanes(lengths: np.ndarray, most: int) -> list[np.ndarray]:
+    """Numbers of the texts in at most ``most`` lanes, longest lane first.
+
+    Texts go by falling length to the lane that is shortest so far, and stand in their lane in a random order.
+    """
+    by_length = np.argsort(-lengths, kind="stable")
+    lanes: list[list[int]] = [[] for _ in range(min(most, len(by_length)))]
+    heap = [(0, i) for i in range(len(lanes))]
+    for text in by_length.tolist():
+        held, lane = heap[0]
+        lanes[lane].append(text)
+        heapq.heapreplace(heap, (held + int(lengths[text]), lane))
+    chance = np.random.default_rng(len(by_length))
+    return [chance.permutation(lanes[lane]) for _, lane in sorted(heap, reverse=True)]
+
+
 class Trainer:
     """Truncated backpropagation through windows with Adam; the state, not the gradient, goes on to the next window."""
 
@@ -148,17 +167,38 @@ class Trainer:
         self.first = [np.zeros_like(part) for part in net.parts()]
         self.second = [np.zeros_like(part) for part in net.parts()]
         self.steps = 0
+        # gradients of inputs and words, zero but for the rows of a step, so that a step costs the same whatever their number
+        self.d_x, self.d_w, self.d_w_bias = np.zeros_like(net.x), np.zeros_like(net.w), np.zeros_like(net.w_bias)
+        self.rows: list[np.ndarray | slice] = []
 
     def train(self, ids: np.ndarray, bounds: np.ndarray) -> int:
-        """One pass over some texts; the number of tokens."""
-        lengths = np.diff(bounds)
-        by_length = np.argsort(-lengths, kind="stable")
-        groups = [by_length[i : i + _TRAIN_LANES] for i in range(0, len(by_length), _TRAIN_LANES)]
-        for group in np.random.default_rng(len(groups)).permutation(len(groups)):
-            self._group(ids, bounds[groups[group]], lengths[groups[group]])
-        return int(lengths.sum())
+        """One pass over some texts; the number of tokens.
 
-    def _group(self, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        Texts stand one after the other in lanes of about one length, so that a long text does not run alone; the state
+        begins anew with each.  A text longer than a lane goes on in another, after its last word but with a new state.
+        """
+        lengths = np.diff(bounds)
+        n = min(_MOST_LANES, max(_LEAST_LANES, int(lengths.sum()) // (WINDOW * _STEPS)))
+        most = max(WINDOW, -(-int(lengths.sum()) // n))
+        pieces = -(-lengths // most)
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = np.repeat(bounds[:-1], pieces) + within * most
+        lengths = np.minimum(most, np.repeat(bounds[1:], pieces) - start)
+        if not len(lengths):
+            return 0
+        enters = np.where(within > 0, ids[start - 1], self.net.words + 1)
+        lanes = _lanes(lengths, n)
+        order = np.concatenate(lanes)
+        size = np.array([lengths[lane].sum() for lane in lanes])
+        ends = np.cumsum(lengths[order])
+        entered = np.full(ends[-1], -1)
+        entered[ends - lengths[order]] = enters[order]
+        moved = np.repeat(start[order] - (ends - lengths[order]), lengths[order])
+        self._group(ids[moved + np.arange(ends[-1])], np.cumsum(size) - size, size, entered)
+        return int(ends[-1])
+
+    def _group(self, ids: np.ndarray, begin: np.ndarray, size: np.ndarray, entered: np.ndarray | None = None) -> None:
+        """Lanes side by side, longest first; ``entered`` has the input where a new state begins, and -1 elsewhere."""
         net = self.net
         h = np.zeros((len(size), net.u.shape[0]), dtype=np.float32)
         active = np.searchsorted(-size, -np.arange(size[0] + 1), side="left")
@@ -168,9 +208,14 @@ class Trainer:
             for t in range(start, min(start + WINDOW, int(size[0]))):
                 n = int(active[t])
                 before, inputs = h[:n], previous[:n]
+                enter = entered[begin[:n] + t] if entered is not None else np.full(n, -1)
+                fresh = np.flatnonzero(enter >= 0)
+                if len(fresh):
+                    before, inputs = before.copy(), inputs.copy()
+                    before[fresh], inputs[fresh] = 0, enter[fresh]
                 h, cache = _step(net, before, inputs)
                 previous = ids[begin[:n] + t]
-                trace.append((before, inputs, cache, h, previous))
+                trace.append((before, inputs, cache, h, previous, fresh))
             self._learn(trace)
 
     def _learn(self, trace: list[tuple]) -> None:
@@ -182,18 +227,19 @@ class Trainer:
         probabilities[np.arange(len(targets)), np.minimum(targets // CLASS_WORDS, CLASSES)] -= 1
         probabilities *= scale
         d_states = probabilities @ net.c.T
-        grads = [np.zeros_like(net.x), np.zeros_like(net.u), states.T @ probabilities, probabilities.sum(axis=0)]
-        d_w, d_w_bias = np.zeros_like(net.w), np.zeros_like(net.w_bias)
+        d_u = np.zeros_like(net.u)
+        classes = []
         for k, rows in _by_class(targets, net.words):
+            classes.append(k)
             inner, _ = _softmax(states[rows] @ net.w[k].T + net.w_bias[k])
             inner[np.arange(len(rows)), targets[rows] % CLASS_WORDS] -= 1
             inner *= scale
-            d_w[k], d_w_bias[k] = inner.T @ states[rows], inner.sum(axis=0)
+            self.d_w[k], self.d_w_bias[k] = inner.T @ states[rows], inner.sum(axis=0)
             d_states[rows] += inner @ net.w[k]
         end = len(targets)
         d_next = np.zeros((0, net.u.shape[0]), dtype=np.float32)
         inputs_all, d_inputs = [], []
-        for before, inputs, (z, r, new, hu), _, _ in reversed(trace):
+        for before, inputs, (z, r, new, hu), _, _, fresh in reversed(trace):
             n = len(inputs)
             d_h = d_states[end - n : end].copy()
             end -= n
@@ -202,27 +248,35 @@ class Trainer:
             d_z = d_h * (before - new) * z * (1 - z)
             d_r = d_new * hu * r * (1 - r)
             d_hu = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            grads[1] += before.T @ d_hu
+            d_u += before.T @ d_hu
             d_next = d_h * z + d_hu @ net.u.T
+            d_next[fresh] = 0
             inputs_all.append(inputs)
             d_inputs.append(np.concatenate([d_z, d_r, d_new], axis=1))
-        self._add_rows(grads[0], np.concatenate(inputs_all), np.concatenate(d_inputs))
-        self._update([*grads, d_w, d_w_bias])
+        touched = self._add_rows(self.d_x, np.concatenate(inputs_all), np.concatenate(d_inputs))
+        known, every = np.array(classes, dtype=np.int64), slice(None)
+        self.rows = [touched, every, every, every, known, known]
+        self._update([self.d_x, d_u, states.T @ probabilities, probabilities.sum(axis=0), self.d_w, self.d_w_bias])
 
     @staticmethod
-    def _add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    def _add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
         order = np.argsort(rows, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
         into[rows[first]] = np.add.reduceat(values[order], first, axis=0)
+        return rows[first]
 
     def _update(self, grads: list[np.ndarray]) -> None:
+        """Adam on the rows of this step; the others keep their weights and averages."""
         self.steps += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
+        parts = [grad[rows] for grad, rows in zip(grads, self.rows, strict=True)]
+        norm = np.sqrt(sum(float((g * g).sum()) for g in parts))
         clip = np.float32(min(1.0, _CLIP / max(norm, 1e-12)))
         rate = np.float32(_RATE * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps))
-        for part, grad, m, v in zip(self.net.parts(), grads, self.first, self.second, strict=True):
-            grad *= clip
-            m += np.float32(0.1) * (grad - m)
-            v += np.float32(0.001) * (grad * grad - v)
-            part -= rate * m / (np.sqrt(v) + np.float32(1e-8))
+        for part, whole, grad, m, v, rows in zip(self.net.parts(), grads, parts, self.first, self.second, self.rows, strict=True):
+            grad = grad * clip
+            first = m[rows] + np.float32(0.1) * (grad - m[rows])
+            second = v[rows] + np.float32(0.001) * (grad * grad - v[rows])
+            m[rows], v[rows] = first, second
+            part[rows] -= rate * first / (np.sqrt(second) + np.float32(1e-8))
+            whole[rows] = 0

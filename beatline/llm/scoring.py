@@ -1,5 +1,6 @@
 """Log-probabilities of whole documents under word counts and under a gated recurrent network."""
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -8,18 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beatline.llm import network
-from beatline.llm.columns import digest_of
 from beatline.llm.network import Network, Trainer
 from beatline.llm.words import Words, seeds, slices, spaced_words
-from beatline.session import staged
+from beatline.session import discard, staged, staging_path
 
 # Tokens whose counts every task holds, 24 bytes each; the counts of others come by a join.
 HEAD = 200_000
-# The network learns from this share of the training documents, and from so many at least if there are.
-TRAIN_SHARE, LEAST_DOCUMENTS = 1 / 32, 2_000
-ROUNDS = 2
-# Documents that one replica of the network learns from; beyond so many replicas each learns from more.
-REPLICA_DOCUMENTS, MOST_REPLICAS = 2_000, 512
+# Rounds, replicas of a round, and documents of a replica each grow with the cube root of the training documents.
+LEAST_ROUNDS, LEAST_REPLICAS, ROUND_DOCUMENTS = 2, 2, 1_000
 END = seeds("end", 1)[0]
 _CHUNKS = 64
 
@@ -111,13 +108,14 @@ def summary(counts: DataFrame, most: int = HEAD) -> Counts:
     return Counts(totals["tokens"], totals["distinct"], hashes[order], n[order], words[order])
 
 
-def _train(text: str, counts: Counts, weights: np.ndarray, start: Network, batches) -> Iterator[pa.RecordBatch]:
+def _train(weights: np.ndarray, start: Network, batches) -> Iterator[pa.RecordBatch]:
     trainer = Trainer(start.with_flat(weights))
     tokens = 0
     for batch in batches:
-        ids, bounds = _numbered(batch, text, counts)
-        if len(ids):
-            tokens += trainer.train(ids, bounds)
+        texts = [np.frombuffer(ids, "<i4") for ids in batch.column("ids").to_pylist()]
+        if texts:
+            bounds = np.cumsum([0, *map(len, texts)])
+            tokens += trainer.train(np.concatenate(texts), bounds)
     if tokens:
         chunks = [part.astype("<f4").tobytes() for part in np.array_split(trainer.net.flat(), _CHUNKS)]
         made = [pa.array(range(_CHUNKS), pa.int32()), pa.array([tokens] * _CHUNKS, pa.int64()), pa.array(chunks, pa.binary())]
@@ -133,6 +131,21 @@ def _numbered(batch: pa.RecordBatch, text: str, counts: Counts) -> tuple[np.ndar
     return (np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)), np.concatenate(bounds)
 
 
+def _texts_as_numbers(text: str, counts: Counts, batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, bounds = _numbered(batch, text, counts)
+        data = pa.py_buffer(ids.astype("<i4").tobytes())
+        made = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * 4).tobytes()), data])
+        kept = [batch.column("round"), batch.column("replica"), made.cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays(kept, ["round", "replica", "ids"])
+
+
+def plan(documents: int) -> tuple[int, int]:
+    """Rounds, and replicas of a round, for so many training documents."""
+    root = math.ceil((documents / ROUND_DOCUMENTS) ** (1 / 3))
+    return max(LEAST_ROUNDS, 2 * root), max(LEAST_REPLICAS, root)
+
+
 def _average(table: pa.Table) -> pa.Table:
     tokens = np.array(table.column("tokens").to_pylist(), dtype=float)
     weights = np.stack([np.frombuffer(x, "<f4") for x in table.column("weights").to_pylist()])
@@ -141,36 +154,43 @@ def _average(table: pa.Table) -> pa.Table:
 
 
 def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "doc_id") -> Network:
-    """The network, trained on a share of the documents chosen by a digest of their keys, whole texts each.
+    """The network, trained on every document, whole texts each.
 
-    Replicas start alike, each learns from its part of the sample, and their weights are averaged by tokens, once a round;
-    every round has its own part of the sample.  A network has the same size whatever the corpus, and only the averages
-    leave the cluster.  The sample grows with the corpus.
+    Replicas start alike, each learns from its part of the round's documents, and their weights are averaged by tokens, once
+    a round; a digest of key and text deals each document to one round and one replica.  With more documents there are more
+    rounds, more replicas, and more documents for each.  A network's size is bounded whatever the corpus, and only the
+    averages leave the cluster.
     """
     words = counts.words < network.CLASSES * network.CLASS_WORDS
     by_number = np.argsort(counts.words[words])
     frequencies = counts.counts[words][by_number]
     # before it learns, the network gives the base score
     start = Network.of_counts(frequencies + 1, counts.others_total)
-    n = documents.count()
-    share = max(TRAIN_SHARE, min(1.0, LEAST_DOCUMENTS / max(1, n)))
-    chance = F.conv(F.substring(digest_of(F.col(key)), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    sample = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), chance.alias("chance"))
-    sample = staged(sample.where(F.col("chance") < share), "sample")
-    replicas = min(MOST_REPLICAS, max(2, int(n * share) // REPLICA_DOCUMENTS))
+    rounds, replicas = plan(documents.count())
+    dealt = F.xxhash64(key, text)
+    dealt = documents.select(
+        F.pmod(dealt, F.lit(rounds)).cast("int").alias("round"),
+        F.pmod(F.shiftrightunsigned(dealt, 32), F.lit(replicas)).cast("int").alias("replica"),
+        F.col(text).alias("text"),
+    )
+    schema = "round int, replica int, ids binary"
+    numbered = dealt.mapInArrow(lambda batches: _texts_as_numbers("text", counts, batches), schema)
+    path = staging_path(documents.sparkSession, "numbered")
+    # a round reads its own files only
+    numbered.write.partitionBy("round").parquet(path)
+    numbered = documents.sparkSession.read.schema(schema).parquet(path)
     weights = start.flat()
-    for i in range(ROUNDS):
-        part = sample.where(F.floor(F.col("chance") / share * ROUNDS) == i)
+    for i in range(rounds):
         # a replica is a range of its own, however many partitions there are
-        part = part.withColumn("replica", F.pmod(F.xxhash64("key"), F.lit(replicas)))
-        part = part.repartitionByRange(replicas, "replica").sortWithinPartitions("replica", "key", "text").select("text")
+        part = numbered.where(F.col("round") == i).drop("round").repartitionByRange(replicas, "replica")
+        part = part.sortWithinPartitions("replica", F.xxhash64("ids"), "ids").select("ids")
         trained = part.mapInArrow(
-            lambda batches, weights=weights: _train("text", counts, weights, start, batches),
-            "chunk int, tokens bigint, weights binary",
+            lambda batches, weights=weights: _train(weights, start, batches), "chunk int, tokens bigint, weights binary"
         )
         mean = trained.groupBy("chunk").applyInArrow(_average, "chunk int, weights binary").collect()
         if mean:
             weights = np.concatenate([np.frombuffer(row["weights"], "<f4") for row in sorted(mean, key=lambda row: row["chunk"])])
+    discard(documents.sparkSession, path)
     return start.with_flat(weights)
 
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
@@ -183,6 +184,39 @@ def test_state_goes_on_across_windows(monkeypatch):
     assert np.allclose(whole, network.log_likelihoods(net, ids, bounds), rtol=1e-5)
 
 
+def test_every_training_document_is_learned_from(spark, tmp_path, monkeypatch):
+    rows = [(i, f"word{i} stands here and there") for i in range(5000)] + [(None, None), (7, "word7 stands here and there")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = str(tmp_path)
+
+    def note(weights, start, batches):
+        # in the task: what would be trained on leaves as files
+        for batch in batches:
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+                file.write("\n".join(str(len(ids) // 4) for ids in batch.column("ids").to_pylist()))
+            yield from ()
+
+    monkeypatch.setattr(scoring, "_train", note)
+    scoring.learn(frame, scoring.summary(scoring.token_counts(frame)))
+    sizes = Counter(int(line) for file in tmp_path.iterdir() for line in file.read_text().split())
+    assert sizes == Counter({6: 5001, 1: 1})
+    small, large = scoring.plan(1000), scoring.plan(1_000_000)
+    assert large[0] > small[0] and large[1] > small[1] and 1_000_000 / math.prod(large) > 1000 / math.prod(small)
+
+
+def test_a_pass_learns_from_every_token_once():
+    chance = np.random.default_rng(2)
+    ids, lengths = chance.integers(0, 300, 3000), [0, 1, 2500, 3, 0, 196, 300]
+    bounds = np.cumsum([0, *lengths])
+    trainer, seen = network.Trainer(network.Network.of_counts(np.ones(300), 1.0)), []
+    trainer._learn = lambda trace: seen.extend((x[1], x[4]) for x in trace)
+    assert trainer.train(ids, bounds) == 3000
+    expected = []
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        expected += zip([trainer.net.words + 1, *ids[a : b - 1]], ids[a:b], strict=False) if b > a else []
+    assert Counter((int(a), int(b)) for x, y in seen for a, b in zip(x, y, strict=True)) == Counter((int(a), int(b)) for a, b in expected)
+
+
 def test_scores_of_odd_rows(odd, nothing):
     rows = scoring.score(odd, F.col("doc_id").isNotNull()).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r["score"]) for r in rows)
