@@ -1,12 +1,14 @@
 """A gated recurrent language model in numpy, with a class-factored output softmax."""
 
 import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
 
 HIDDEN = 24
-CLASSES, CLASS_WORDS = 64, 64
+# Classes, and words of a class, are the square root of the words, 128 at most: 1.6 million weights, 6.4 MB.
+MOST_WORDS = 128 * 128
 WINDOW = 16
 _LANES = 2048
 # Lanes in training: as many as leave so many steps, between these bounds.
@@ -18,9 +20,9 @@ _RATE, _CLIP = 1e-2, 1.0
 class Network:
     """Input ``x`` per word (already projected to the gates), recurrence ``u``, class output ``c``, word output ``w``.
 
-    Words are numbered by falling frequency; class ``k`` has the numbers from ``k * CLASS_WORDS`` on.  After the last
-    class comes one class for all other words, which the network does not tell apart; as inputs they share the number
-    after the words, and the one after that begins a text.
+    Words are numbered as given; class ``k`` has the numbers from ``k * class_words`` on.  After the last class comes one
+    class for all other words, which the network does not tell apart; as inputs they share the number after the words,
+    and the one after that begins a text.
     """
 
     x: np.ndarray
@@ -33,20 +35,21 @@ class Network:
     @classmethod
     def of_counts(cls, counts: np.ndarray, others: float, hidden: int = HIDDEN) -> "Network":
         """An untrained network whose output are the shares of the counts, whatever came before."""
-        words = CLASSES * CLASS_WORDS
+        side = max(1, math.ceil(math.sqrt(len(counts))))
+        words = side * side
         chance = np.random.default_rng(7)
         padded = np.zeros(words)
         padded[: len(counts)] = counts
-        padded = padded.reshape(CLASSES, CLASS_WORDS)
+        padded = padded.reshape(side, side)
         masses = np.maximum(np.append(padded.sum(axis=1), others), 1e-4)
         with np.errstate(divide="ignore"):
             w_bias = np.maximum(np.log(padded) - np.log(masses[:-1, None]), -1e4)
         made = [
             chance.normal(0, 0.1, (words + 2, 3 * hidden)),
             chance.normal(0, hidden**-0.5, (hidden, 3 * hidden)),
-            np.zeros((hidden, CLASSES + 1)),
+            np.zeros((hidden, side + 1)),
             np.log(masses / masses.sum()),
-            np.zeros((CLASSES, CLASS_WORDS, hidden)),
+            np.zeros((side, side, hidden)),
             w_bias,
         ]
         return cls(*(part.astype(np.float32) for part in made))
@@ -64,6 +67,14 @@ class Network:
             at += part.size
         return Network(*parts)
 
+    @property
+    def classes(self) -> int:
+        return self.w.shape[0]
+
+    @property
+    def class_words(self) -> int:
+        return self.w.shape[1]
+
     @property
     def words(self) -> int:
         return self.w_bias.size
@@ -81,12 +92,12 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e / total, (top + np.log(total))[:, 0]
 
 
-def _by_class(targets: np.ndarray, words: int):
+def _by_class(targets: np.ndarray, classes_of: int, class_words: int):
     """Rows of the targets of each class that occurs, without the class of all other words."""
     order = np.argsort(targets, kind="stable")
-    classes = targets[order] // CLASS_WORDS
-    ends = np.searchsorted(classes, np.arange(CLASSES + 1))
-    for k in np.unique(classes[: ends[CLASSES]]):
+    classes = targets[order] // class_words
+    ends = np.searchsorted(classes, np.arange(classes_of + 1))
+    for k in np.unique(classes[: ends[classes_of]]):
         yield int(k), order[ends[k] : ends[k + 1]]
 
 
@@ -133,12 +144,12 @@ def log_likelihoods(net: Network, ids: np.ndarray, bounds: np.ndarray) -> np.nda
 def _log_probabilities(net: Network, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     logits = states @ net.c + net.c_bias
     top = logits.max(axis=1)
-    value = logits[np.arange(len(targets)), np.minimum(targets // CLASS_WORDS, CLASSES)] - top
+    value = logits[np.arange(len(targets)), np.minimum(targets // net.class_words, net.classes)] - top
     value = value - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-    for k, rows in _by_class(targets, net.words):
+    for k, rows in _by_class(targets, net.classes, net.class_words):
         inner = states[rows] @ net.w[k].T + net.w_bias[k]
         top = inner.max(axis=1)
-        value[rows] += inner[np.arange(len(rows)), targets[rows] % CLASS_WORDS] - top
+        value[rows] += inner[np.arange(len(rows)), targets[rows] % net.class_words] - top
         value[rows] -= np.log(np.exp(inner - top[:, None]).sum(axis=1))
     return value.astype(np.float64)
 
@@ -224,15 +235,15 @@ class Trainer:
         targets = np.concatenate([x[4] for x in trace])
         scale = np.float32(1 / len(targets))
         probabilities, _ = _softmax(states @ net.c + net.c_bias)
-        probabilities[np.arange(len(targets)), np.minimum(targets // CLASS_WORDS, CLASSES)] -= 1
+        probabilities[np.arange(len(targets)), np.minimum(targets // net.class_words, net.classes)] -= 1
         probabilities *= scale
         d_states = probabilities @ net.c.T
         d_u = np.zeros_like(net.u)
         classes = []
-        for k, rows in _by_class(targets, net.words):
+        for k, rows in _by_class(targets, net.classes, net.class_words):
             classes.append(k)
             inner, _ = _softmax(states[rows] @ net.w[k].T + net.w_bias[k])
-            inner[np.arange(len(rows)), targets[rows] % CLASS_WORDS] -= 1
+            inner[np.arange(len(rows)), targets[rows] % net.class_words] -= 1
             inner *= scale
             self.d_w[k], self.d_w_bias[k] = inner.T @ states[rows], inner.sum(axis=0)
             d_states[rows] += inner @ net.w[k]

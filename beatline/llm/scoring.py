@@ -15,6 +15,8 @@ from beatline.session import discard, staged, staging_path
 
 # Tokens whose counts every task holds, 24 bytes each; the counts of others come by a join.
 HEAD = 200_000
+# Words of the network's own at most; all others share buckets by hash, one for so many of them, and so many at most.
+OWN, BUCKET_WORDS, MOST_BUCKETS = 12_288, 16, network.MOST_WORDS - 12_288
 # Rounds, replicas of a round, and documents of a replica each grow with the cube root of the training documents.
 LEAST_ROUNDS, LEAST_REPLICAS, ROUND_DOCUMENTS = 2, 2, 1_000
 END = seeds("end", 1)[0]
@@ -25,7 +27,9 @@ _CHUNKS = 64
 class Counts:
     """Counts of the training tokens: of all, of the different ones, and of the most frequent by sorted hash.
 
-    ``words`` has the network's number of each of these; all but the most frequent have the number of others.
+    ``words`` has the network's number of each of these that has one of its own, and -1 for others.  Tokens without one,
+    counted or not, have a bucket by hash; ``buckets`` are the sums over each of count + 1, with 1 for unknown tokens.
+    The network numbers them after the ``own`` words.
     """
 
     tokens: int
@@ -33,16 +37,23 @@ class Counts:
     heads: np.ndarray
     counts: np.ndarray
     words: np.ndarray
+    buckets: np.ndarray
 
     @property
     def base_total(self) -> float:
         return float(self.tokens + self.distinct + 1)
 
     @property
-    def others_total(self) -> float:
-        """The same sum over the tokens that the network does not tell apart."""
-        known = self.words < network.CLASSES * network.CLASS_WORDS
-        return float(self.tokens - self.counts[known].sum() + self.distinct - known.sum() + 1)
+    def own(self) -> int:
+        return int((self.words >= 0).sum())
+
+    def masses(self) -> np.ndarray:
+        """Count + 1 of the own words by their number, then the buckets."""
+        known = np.flatnonzero(self.words >= 0)
+        return np.append(self.counts[known[np.argsort(self.words[known])]] + 1.0, self.buckets)
+
+    def bucket(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(40)).astype(np.int64) % len(self.buckets)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each token among the most frequent, and whether it is there."""
@@ -53,8 +64,10 @@ class Counts:
 
     def word_numbers(self, hashes: np.ndarray) -> np.ndarray:
         place, found = self.find(hashes)
-        others = network.CLASSES * network.CLASS_WORDS
-        return np.where(found, self.words[place], others) if len(self.words) else np.full(len(hashes), others)
+        shared = self.own + self.bucket(hashes)
+        if not len(self.heads):
+            return shared
+        return np.where(found & (self.words[place] >= 0), self.words[place], shared)
 
 
 def _with_ends(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -97,15 +110,23 @@ def summary(counts: DataFrame, most: int = HEAD) -> Counts:
             break
         least = row["least"]
     if least is None:
-        none = np.zeros(0, dtype=np.int64)
-        return Counts(totals["tokens"] or 0, totals["distinct"], none.view(np.uint64), none, none)
-    rows = counts.where(F.col("n") >= least).toPandas()
-    hashes, n = rows["token"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
-    by_count = np.lexsort((hashes, -n))
-    words = np.empty(len(n), dtype=np.int64)
-    words[by_count] = np.minimum(np.arange(len(n)), network.CLASSES * network.CLASS_WORDS)
+        hashes = n = np.zeros(0, dtype=np.int64)
+    else:
+        rows = counts.where(F.col("n") >= least).toPandas()
+        hashes, n = rows["token"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    hashes = hashes.view(np.uint64)
+    by_count = np.lexsort((hashes, -n))[:OWN]
+    words = np.full(len(n), -1)
+    words[by_count] = np.arange(len(by_count))
     order = np.argsort(hashes)
-    return Counts(totals["tokens"], totals["distinct"], hashes[order], n[order], words[order])
+    others = totals["distinct"] - len(by_count)
+    buckets = np.zeros(min(MOST_BUCKETS, max(1, -(-others // BUCKET_WORDS))))
+    made = Counts(totals["tokens"] or 0, totals["distinct"], hashes[order], n[order], words[order], buckets)
+    by_bucket = F.pmod(F.shiftrightunsigned("token", 40), F.lit(len(buckets))).cast("int")
+    for row in counts.groupBy(by_bucket.alias("bucket")).agg(F.sum(F.col("n") + 1).alias("n")).collect():
+        buckets[row["bucket"]] = row["n"]
+    buckets += 1 - np.bincount(made.bucket(hashes[by_count]), weights=n[by_count] + 1, minlength=len(buckets))
+    return made
 
 
 def _train(weights: np.ndarray, start: Network, batches) -> Iterator[pa.RecordBatch]:
@@ -161,11 +182,8 @@ def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "
     rounds, more replicas, and more documents for each.  A network's size is bounded whatever the corpus, and only the
     averages leave the cluster.
     """
-    words = counts.words < network.CLASSES * network.CLASS_WORDS
-    by_number = np.argsort(counts.words[words])
-    frequencies = counts.counts[words][by_number]
-    # before it learns, the network gives the base score
-    start = Network.of_counts(frequencies + 1, counts.others_total)
+    # before it learns, the network gives the base score but for the unknown word of each bucket
+    start = Network.of_counts(counts.masses(), 0.0)
     rounds, replicas = plan(documents.count())
     dealt = F.xxhash64(key, text)
     dealt = documents.select(
@@ -195,7 +213,7 @@ def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "
 
 
 def _score(text: str, names: list[str], counts: Counts, net: Network, batches) -> Iterator[pa.RecordBatch]:
-    others = net.words
+    bucket_logs = np.log10(counts.buckets)
     for batch in batches:
         ids, bounds = _numbered(batch, text, counts)
         likelihood = network.log_likelihoods(net, ids, bounds) / np.log(10)
@@ -206,15 +224,16 @@ def _score(text: str, names: list[str], counts: Counts, net: Network, batches) -
             logs = np.where(found, np.log10(counts.counts[place] + 1.0), 0.0) if len(counts.heads) else np.zeros(len(hashes))
             number = ids[bounds[first] : bounds[first + n]]
             owner = np.repeat(np.arange(n), np.diff(begins))
-            in_others = np.bincount(owner[number == others], minlength=n)
-            other_logs = np.bincount(owner[number == others], weights=logs[number == others], minlength=n)
+            shared = np.flatnonzero(number >= counts.own)
+            within = logs[shared] - bucket_logs[number[shared] - counts.own]
+            in_buckets = np.bincount(owner[shared], weights=within, minlength=n)
             rare = np.flatnonzero(~found)
             offsets = np.searchsorted(rare, begins).astype(np.int32)
             made = {
                 "n_tokens": pa.array(np.diff(begins), pa.int64()),
                 "n_known": pa.array(np.bincount(owner[found], minlength=n), pa.int64()),
                 "base_score": pa.array(np.bincount(owner, weights=logs, minlength=n)),
-                "score": pa.array(likelihood[first : first + n] + other_logs - in_others * np.log10(counts.others_total)),
+                "score": pa.array(likelihood[first : first + n] + in_buckets),
                 "rare": pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[rare].view(np.int64))),
             }
             yield pa.RecordBatch.from_arrays([made[x] if x in made else rows.column(x) for x in names], names)
@@ -226,8 +245,8 @@ def score(documents: DataFrame, may_learn: Column, text: str = "text", key: str
 
     Tokens are words between ASCII spaces with A-Z in lower case, and one end per text; NULL is an empty text.
     ``base_score`` sums log10 of ``(count + 1) / (tokens + different + 1)`` over the tokens, with the counts of all
-    documents where ``may_learn`` holds.  ``score`` is the log10 probability under the network: a class, then a word of
-    the class; the class of all other words gives each by its count in the same way, so unknown words have a share too.
+    documents where ``may_learn`` holds.  ``score`` is the log10 probability under the network: a class, then a word or
+    a bucket of the class; a bucket gives each of its words by its count in the same way, so unknown words have a share too.
     Without any training document both use counts of 0.  Repeated rows are scored each; columns of the names are replaced.
     """
     taught = documents.where(may_learn)

@@ -217,6 +217,24 @@ def test_a_pass_learns_from_every_token_once():
     assert Counter((int(a), int(b)) for x, y in seen for a, b in zip(x, y, strict=True)) == Counter((int(a), int(b)) for a, b in expected)
 
 
+def test_words_of_the_network_grow_with_the_counted_ones(spark):
+    sizes = {}
+    for n in (100, 20_000, 60_000):
+        rows = spark.range(n).select(F.xxhash64("id").alias("token"), (F.lit(n) - F.col("id")).alias("n"))
+        counts = scoring.summary(rows)
+        hashes = rows.toPandas()["token"].to_numpy(np.int64).view(np.uint64)
+        numbers = counts.word_numbers(hashes)
+        assert counts.own == min(n, scoring.OWN) and len(np.unique(numbers[: counts.own])) == counts.own
+        # all words of a bucket and one unknown word sum to it
+        of_n = np.arange(n, 0, -1) + 1.0
+        summed = np.bincount(numbers, weights=of_n, minlength=len(counts.masses()))
+        assert np.allclose(summed[: counts.own], counts.masses()[: counts.own])
+        assert np.allclose(summed[counts.own :] + 1, counts.buckets)
+        sizes[n] = network.Network.of_counts(counts.masses(), 0.0).words
+        assert len(counts.masses()) <= sizes[n] <= network.MOST_WORDS
+    assert sizes[100] < sizes[20_000] < sizes[60_000]
+
+
 def test_scores_of_odd_rows(odd, nothing):
     rows = scoring.score(odd, F.col("doc_id").isNotNull()).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r["score"]) for r in rows)
