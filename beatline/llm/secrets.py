@@ -22,7 +22,7 @@ LEAST = {"assign": 8, "access": 16}
 # Tokens that may be credentials without any context.
 TOKEN = re.compile(r"(?a)(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}")
 LEAST_ENTROPY = 3.0
-MOST_OWNERS = 1
+MOST_OWNERS, MOST_REPOSITORIES = 1, 3
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -84,19 +84,23 @@ def candidates(documents: DataFrame, text: str = "text") -> DataFrame:
     return asked.mapInArrow(lambda batches: _scan(text, batches), f"{schema}, candidates {_CANDIDATE_SQL}")
 
 
-def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
-    """Per value, in how many distinct owners and repositories it stands; NULL is an owner like any other.
+def ownership(found: DataFrame, owner: str, repository: str, text: str) -> DataFrame:
+    """Per value, in how many distinct owners and repositories it stands; ``text`` has a digest of each row's text.
 
-    Rows are made distinct by (value, owner, repository) first, in each task before the shuffle, so a value in a
-    third of all documents costs a row per task and repository, and no task sees all holders of one value at once.
+    Exact copies of one text count once, with the least owner and repository.  NULL is an owner like any other, but says
+    nothing of the repository: there each text counts.  Rows are made distinct by value and text first, in each task before
+    the shuffle, and counted by value before the next one, so no task sees all holders of one value at once.
     """
-    held = found.select(F.explode("candidates.value").alias("value"), F.col(owner), F.col(repository))
-    named = held.select("value", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (owner, repository)))
-    places = named.groupBy("value", owner, repository).agg(F.count(F.lit(1)).alias("uses"))
-    by_owner = places.groupBy("value", owner).agg(F.count(F.lit(1)).alias("repositories"), F.sum("uses").alias("uses"))
-    return by_owner.groupBy("value").agg(
-        F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), F.sum("uses").alias("uses")
+    held = found.select(F.explode("candidates.value").alias("value"), F.col(text).alias("text"), F.col(owner), F.col(repository))
+    texts = held.groupBy("value", "text").agg(
+        F.min(F.coalesce(F.col(owner).cast("string"), F.lit(""))).alias("owner"),
+        F.min(F.col(repository).cast("string")).alias("repository"),
     )
+    # a text and a repository never have the same name
+    named = F.coalesce(F.concat(F.lit("r"), "repository"), F.concat(F.lit("t"), "text"))
+    owners = texts.groupBy("value", "owner").agg(F.count(F.lit(1))).groupBy("value").agg(F.count(F.lit(1)).alias("owners"))
+    places = texts.groupBy("value", named.alias("place")).agg(F.count(F.lit(1)))
+    return owners.join(places.groupBy("value").agg(F.count(F.lit(1)).alias("repositories")), "value")
 
 
 def scan(
@@ -105,23 +109,26 @@ def scan(
     owner: str = "source",
     repository: str = "doc_id",
     most_owners: int = MOST_OWNERS,
+    most_repositories: int = MOST_REPOSITORIES,
 ) -> DataFrame:
-    """One row per document: ``base`` spans and ``all_spans``, each (kind, start, end, value digest, owners, live).
+    """One row per document: ``base`` spans and ``all_spans``, each (kind, start, end, value digest, owners, repositories, live).
 
     Base matches always stay.  A token that no base pattern finds is added, as kind ``owned``, when at most ``most_owners``
-    owners in the whole corpus hold its value: what many owners hold is a copied example, what one owner holds looks like a
-    live credential.  ``live`` says the same of base matches.  NULL and empty texts have no spans; rows with one ID are
+    owners and ``most_repositories`` repositories in the whole corpus hold its value, where exact copies of a text count
+    once: what many hold, or one holds in many places, is a copied example; what one owner holds in few looks like a live
+    credential.  ``live`` says the same of base matches.  NULL and empty texts have no spans; rows with one ID are
     scanned each; an empty table gives an empty one.  Spans are in code points, end exclusive.
     """
-    found = staged(candidates(documents, text).withColumn("__row", F.monotonically_increasing_id()), "secrets")
-    counts = ownership(found, owner, repository)
+    digested = documents.withColumn("__text", F.md5(F.col(text).cast("binary")))
+    found = staged(candidates(digested, text).withColumn("__row", F.monotonically_increasing_id()), "secrets")
+    counts = ownership(found, owner, repository, "__text")
     each = found.select("__row", F.explode("candidates").alias("c")).select("__row", "c.*").join(counts, "value")
-    span = F.struct(
-        "start", _place("kind").alias("place"), "end", "kind", "value", "owners", (F.col("owners") <= most_owners).alias("live")
-    )
-    kept = each.where((F.col("kind") != "owned") | (F.col("owners") <= most_owners))
+    live = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
+    place = _place("kind").alias("place")
+    span = F.struct("start", place, "end", "kind", "value", "owners", "repositories", live.alias("live"))
+    kept = each.where((F.col("kind") != "owned") | live)
     by_row = kept.groupBy("__row").agg(F.sort_array(F.collect_list(span)).alias("all_spans"))
-    rows = found.drop("candidates").join(by_row, "__row", "left").drop("__row")
+    rows = found.drop("candidates", "__text").join(by_row, "__row", "left").drop("__row")
     empty = F.coalesce("all_spans", F.array().cast(by_row.schema["all_spans"].dataType))
     rows = rows.withColumn("all_spans", empty)
     return rows.withColumn("base", F.filter("all_spans", lambda s: s["kind"] != "owned"))

@@ -92,6 +92,23 @@ def test_owners_tell_examples_from_live_ones(spark):
     assert found[9]["all_spans"][0]["start"] == 5 and not found[0]["all_spans"]
 
 
+def test_copies_within_one_owner_and_exact_copies_across_owners(spark):
+    example, real, null = "Ab3dEf6hIj9kLm2nOp5q", "Zy8xWv5uTs2rQp9oNm6l", "Qw7eRt4yUi1oPa8sDf5g"
+    rows = [(i, f"page {i} says token={example} and {example[::-1]}", "one") for i in range(20)]
+    rows += [(None, f"page {i} says {null}", None) for i in range(20)]
+    rows += [(100, f"mine is token={real} and {real[::-1]}", "a"), (101, f"mine is token={real} and {real[::-1]}", "b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = secrets.scan(frame).collect()
+    for r in found:
+        got = [(s["kind"], s["owners"], s["repositories"], s["live"]) for s in r["all_spans"]]
+        if r["source"] == "one":
+            assert got == [("assign", 1, 20, False)]
+        elif r["source"] is None:
+            assert got == []
+        else:
+            assert got == [("assign", 1, 1, True), ("owned", 1, 1, True)]
+
+
 def test_secrets_of_odd_rows(odd, nothing):
     assert secrets.scan(odd).count() == odd.count()
     assert secrets.scan(nothing).count() == 0
