@@ -43,12 +43,14 @@ _BESIDE = frozenset(
     pager toolbar copyright contentinfo complementary
     """.split()
 )
+# Parts of a class that say what a page has or lacks, or the state it is in, not what the element is.
+_STATES = frozenset("has no not with without free open closed enabled disabled hidden off on is".split())
 # These name an article's own parts when they stand in one.
 _BESIDE_OUTSIDE = frozenset(("header",))
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    |<(script|style|noscript|template|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)
+    |<(script|style|noscript|template|svg(?![^>]*/>)|iframe|object)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)
     |<(/?)([a-z][a-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>
     |<(/?)([a-z][a-z0-9:-]*)([^>]*)>
     |<[!?/][^>]*>""",
@@ -66,23 +68,50 @@ class Block:
     beside: bool
     in_article: bool
     container: int
+    element: int
     label: str = ""
 
 
-def _beside(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in _OUTSIDE:
-        return True
-    if tag in ("html", "body") or tag in _ARTICLE and not attributes:
-        return False
-    if tag == "header":
-        return not in_article
-    if not attributes:
-        return False
+# How an element is named as beside the article: not, by a part of a class, by a whole class, or by its tag.
+_NOT, _IN_PART, _WHOLE, _TAG = range(4)
+
+
+def _beside(tag: str, attributes: str, in_article: bool) -> int:
+    if tag in _OUTSIDE or tag == "header" and not in_article:
+        return _TAG
+    if tag in ("html", "body", "main", "header") or not attributes:
+        return _NOT
+    named = _NOT
     for found in _NAMES.finditer(attributes):
-        for word in _PART.findall((found[1] or found[2] or found[3] or "").lower()):
-            if word in _BESIDE or word in _BESIDE_OUTSIDE and not in_article:
-                return True
-    return False
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            parts = _PART.findall(name)
+            if not _STATES.intersection(parts) and any(
+                part in _BESIDE or part in _BESIDE_OUTSIDE and not in_article for part in parts
+            ):
+                named = max(named, _WHOLE if len(parts) == 1 else _IN_PART)
+    return named
+
+
+@dataclass
+class _Element:
+    """An element, the one around it, how it is named, and whether it holds the page's article or main part."""
+
+    around: int
+    named: int
+    holds: str = ""
+
+
+def _sides(elements: list[_Element]) -> list[bool]:
+    """Of each element, whether it is beside the article.
+
+    A part of a class does not outweigh an ``<article>`` that the element is or holds; a whole class does, as cards in a
+    ``sidebar`` are articles too.  Nothing but its tag and place outweighs that an element holds ``<main>``.
+    """
+    out: list[bool] = []
+    for element in elements:
+        least = {"": _IN_PART, "article": _WHOLE, "main": _TAG}[element.holds]
+        out.append(element.named >= least or element.around >= 0 and out[element.around])
+    return out
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -92,18 +121,19 @@ def blocks_of(page: str) -> list[Block]:
     closed ends where the next begins; any other element ends with its own end tag or with one around it.
     """
     out: list[Block] = []
-    # of each open element: tag, whether it or one around it is beside the article, or in it, and its number
-    stack: list[tuple[str, bool, bool, int]] = []
+    elements: list[_Element] = []
+    # of each open element: tag, whether it or one around it is an article, and its number
+    stack: list[tuple[str, bool, int]] = []
     text: list[str] = []
-    links = link_depth = breaks = number = 0
+    links = link_depth = breaks = 0
     at = 0
 
     def end_block() -> None:
         nonlocal links, breaks
         string = " ".join(html.unescape("".join(text)).split())
         if string:
-            beside, inside, container = (stack[-1][1], stack[-1][2], _container(stack)) if stack else (False, False, 0)
-            out.append(Block(string, links, beside, inside, container))
+            inside, container, element = (stack[-1][1], _container(stack), stack[-1][2]) if stack else (False, 0, -1)
+            out.append(Block(string, links, False, inside, container, element))
         text.clear()
         links = breaks = 0
 
@@ -146,20 +176,26 @@ def blocks_of(page: str) -> list[Block]:
                         break
                     if open_tag in _BLOCKS:
                         break
-            beside, inside = stack[-1][1:3] if stack else (False, False)
-            number += 1
-            inside = inside or tag in _ARTICLE
-            stack.append((tag, beside or _beside(tag, attributes, inside), inside, number))
+            inside, around = stack[-1][1:] if stack else (False, -1)
+            marks = tag in _ARTICLE
+            if marks and (not inside or tag == "main"):
+                for _, _, number in stack:
+                    elements[number].holds = max(elements[number].holds, tag)
+            elements.append(_Element(around, _beside(tag, attributes, inside or marks), tag if marks else ""))
+            stack.append((tag, inside or marks, len(elements) - 1))
     add(page[at:])
     end_block()
+    sides = _sides(elements)
+    for block in out:
+        block.beside = block.element >= 0 and sides[block.element]
     return out
 
 
-def _container(stack: list[tuple[str, bool, bool, int]]) -> int:
+def _container(stack: list[tuple[str, bool, int]]) -> int:
     """The number of the innermost element that is more than a paragraph, heading or inline mark."""
-    for tag, _, _, number in reversed(stack):
+    for tag, _, number in reversed(stack):
         if tag in _BLOCKS and tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote"):
-            return number
+            return number + 1
     return 0
 
 

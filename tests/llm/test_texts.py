@@ -145,6 +145,30 @@ def test_odd_pages_do_not_break(page):
     assert isinstance(extraction.main_text(page), str)
 
 
+PROSE = "It is the text of the page that we have for you and it is not in the menu but it is the text of it for all."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content has-sidebar"><article><p>{PROSE}</p></article></div>',
+        f'<main class="site-main no-sidebar"><p>{PROSE}</p></main>',
+        f'<article class="post comments-open"><p>{PROSE}</p></article>',
+        f'<div id="ad-free-content"><article><p>{PROSE}</p></article></div>',
+        f'<div class="related-layout"><main class="search"><p>{PROSE}</p></main></div>',
+        f'<div class="has-sidebar"><p>{PROSE}</p></div>',
+        f'<article><svg viewBox="0 0 1 1"/><p>{PROSE}</p></article>',
+        f'<article><object-list><p>{PROSE}</p></object-list></article>',
+        f'<template-card><p>{PROSE}</p></template-card>',
+    ],
+)
+def test_class_words_and_tags_do_not_hide_the_article(page):
+    aside = f'<div class="sidebar"><article class="card"><p>{PROSE}</p></article></div>'
+    assert extraction.main_text(page) == PROSE
+    assert extraction.main_text(page + aside) == PROSE
+    assert extraction.main_text(f"<svg><text>{PROSE}</text></svg>" + page) == PROSE
+
+
 def test_extract_keeps_other_columns(spark):
     rows = [(1, "u", PAGE, "old", None), (None, None, None, None, None)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string, extra string")
