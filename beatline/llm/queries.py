@@ -1,10 +1,11 @@
 """Registered queries; each takes the session and a folder of tables and runs over whole tables."""
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import chosen_path, decontamination, extraction, fingerprints, languages, mixing, scoring, secrets, sharding, toxicity
+from beatline.llm import chosen_path, decontamination, extraction, fingerprints, languages, mixing, periodic, scoring, secrets, sharding, toxicity
 from beatline.llm.columns import id_remainder, space_words
 from beatline.session import staged
 
@@ -129,3 +130,31 @@ def op10_mix_sources(spark, sf_dir):
     mixed = mixing.mix(staged(sized, "sizes"), F.col("size"), order=("doc_id", "size"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
+def _with_planted_runs(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """Words of a document of which one in ten, by its ID, repeats from a place on."""
+    code, n = zlib.crc32(str("" if doc_id is None else doc_id).encode()), len(words)
+    if code % 10 or not n:
+        return words
+    rest = code // 10
+    first = rest % n
+    period = 1 + (n - first) // (3 + rest % 8)
+    return words[:first] + [words[first + (i - first) % period] for i in range(first, n)]
+
+
+@_query
+def op13_grammar_runs(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.detect(documents, change=_with_planted_runs, key="doc_id").withColumn("best", periodic.strongest())
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.expr("1000 * best.length div best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )

@@ -69,3 +69,53 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM document_words d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
+
+STATEMENTS["op13_grammar_runs"] = r"""
+WITH crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS entry
+), split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        xor(list_reduce(list_prepend(4294967295::BIGINT,
+            list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda digit: ascii(digit)::BIGINT)),
+            lambda c, b: xor(entry[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS code
+    FROM documents, crc_table
+), placed AS (
+    SELECT doc_id, words, len(words) AS n, code, (code // 10) % greatest(len(words), 1) AS a FROM split
+), bent AS (
+    SELECT doc_id, CASE WHEN code % 10 = 0 AND n > 0 THEN list_transform(range(n),
+        lambda i: words[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (code // 10) % 8)) END + 1])
+        ELSE words END AS words
+    FROM placed
+), word_rows AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i, len(words) AS n FROM bent
+), same AS (
+    SELECT x.doc_id, y.i - x.i AS period, y.i AS k
+    FROM word_rows x JOIN word_rows y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 4 <= x.n
+), islands AS (
+    SELECT doc_id, period, min(k) - period AS start, max(k) + 1 AS stop
+    FROM (SELECT *, k - row_number() OVER (PARTITION BY doc_id, period ORDER BY k) AS island FROM same)
+    GROUP BY doc_id, period, island
+    HAVING max(k) + 1 - min(k) + period >= greatest(6, 4 * period)
+), runs AS (
+    SELECT * FROM islands r WHERE NOT EXISTS (
+        SELECT 1 FROM islands s WHERE s.doc_id = r.doc_id AND s.period < r.period AND s.start <= r.start AND s.stop >= r.stop)
+), summed AS (
+    SELECT doc_id, count(*) AS n_runs,
+        string_agg(start || ',' || (stop - start) || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+), best AS (
+    SELECT doc_id, start, stop - start AS length, period FROM runs
+    QUALIFY row_number() OVER (PARTITION BY doc_id
+        ORDER BY ((stop - start)::DECIMAL(18, 0) * 1000000000000 // period) DESC, start, period) = 1
+), dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, stop)) AS i FROM runs
+), left_words AS (
+    SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS words
+    FROM word_rows w ANTI JOIN dropped d ON w.doc_id = d.doc_id AND w.i = d.i GROUP BY w.doc_id
+)
+SELECT b.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+    period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(l.words, '')) AS collapsed_sha256
+FROM bent b LEFT JOIN summed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN left_words l USING (doc_id)
+"""
