@@ -1,11 +1,12 @@
 """Registered queries; each takes the session and a folder of tables and runs over whole tables."""
 
+import hashlib
 import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beatline.llm import chosen_path, decontamination, extraction, fingerprints, languages, mixing, periodic, scoring, secrets, sharding, toxicity
+from beatline.llm import centroids, chosen_path, decontamination, extraction, fingerprints, languages, mixing, periodic, scoring, secrets, sharding, toxicity, vantage
 from beatline.llm.columns import id_remainder, space_words
 from beatline.session import staged
 
@@ -132,6 +133,33 @@ def op10_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+@_query
+def op11_vantage_point_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vantage.nearest(vectors, F.col("vec_id") % 100 == 0, k=10, factor=1.0)
+
+
+@_query
+def op12_heap_clusters(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    written = F.concat(F.lit("3:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
+    found = centroids.cluster(vectors, k=8, rounds=10, order=F.sha2(written.cast("binary"), 256))
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+
+    def of_cluster(values: list, kind: str):
+        # eight values at most
+        return F.array(*map(F.lit, values)).cast(f"array<{kind}>")[F.col("cluster")]
+
+    return found.vectors.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        of_cluster(found.inertia, "bigint").alias("cluster_inertia"),
+        F.lit(sum(found.inertia)).cast("bigint").alias("inertia"),
+        of_cluster(digests, "string").alias("centroid_sha256"),
+    )
+
+
 def _with_planted_runs(words: list[bytes], doc_id: int | None) -> list[bytes]:
     """Words of a document of which one in ten, by its ID, repeats from a place on."""
     code, n = zlib.crc32(str("" if doc_id is None else doc_id).encode()), len(words)

@@ -119,3 +119,65 @@ SELECT b.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start,
     sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(l.words, '')) AS collapsed_sha256
 FROM bent b LEFT JOIN summed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN left_words l USING (doc_id)
 """
+
+STATEMENTS["op11_vantage_point_search"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AND vec_id IS NOT NULL
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v),
+        lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank, vec_id, score FROM pairs
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+def _clusters(rounds: int = 10) -> str:
+    """Lloyd's rounds written out one after the other."""
+    steps = [
+        """kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), components AS MATERIALIZED (
+    SELECT vec_id, generate_subscripts(v, 1) AS d, unnest(v) AS x FROM kept
+), centroids0 AS MATERIALIZED (
+    SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1)::INT AS cluster, v FROM kept
+    ORDER BY sha256('3:' || vec_id) LIMIT 8
+)"""
+    ]
+    for turn in range(rounds + 1):
+        steps.append(
+            f"""assigned{turn} AS MATERIALIZED (
+    SELECT vec_id, k.v, c.cluster,
+        list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+    FROM kept k, centroids{turn} c
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, c.cluster) = 1
+)"""
+        )
+        if turn < rounds:
+            steps.append(
+                f"""means{turn} AS (
+    SELECT cluster, list(mean ORDER BY d) AS v FROM (
+        SELECT cluster, d, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+        FROM assigned{turn} JOIN components USING (vec_id) GROUP BY cluster, d)
+    GROUP BY cluster
+), centroids{turn + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(m.v::BIGINT[], c.v) AS v FROM centroids{turn} c LEFT JOIN means{turn} m USING (cluster)
+)"""
+            )
+    return (
+        "WITH "
+        + ", ".join(steps)
+        + f"""
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM assigned{rounds} JOIN centroids{rounds} c USING (cluster)
+"""
+    )
+
+
+STATEMENTS["op12_heap_clusters"] = _clusters()
