@@ -122,7 +122,7 @@ def cluster(
     A queue is a heap that outlives the tasks: runs in the shared folder, each written by one round and ordered by cluster and
     key (an ordered run is a heap with its head first), so that taking from the head is a range of keys in each run,
     which the scan cuts out by the statistics of files and pages; what was taken is below the accumulated drift and so
-    gone.  When there are many runs, what is left of them is written as one.  A lost task repeats its part of a round.
+    gone.  When there are many runs, or more gone than left in them, what is left is written as one.  A lost task repeats its part of a round.
     Vectors are not shuffled, so it does not matter how large one cluster is.  To the driver come sums: ``k`` times
     ``dimensions`` numbers a round, and the first ``k`` vectors.
 
@@ -144,17 +144,22 @@ def cluster(
     centroids = np.array([row["__v"] for row in first], dtype=np.int64)
     sums = np.zeros((k, dimensions + 1), dtype=object)
     drifted, before = np.zeros(k), np.zeros(k)
-    runs: list[str] = []
-    expired, rescanned = named, []
+    runs: dict[str, int] = {}  # with their rows
+    expired, rescanned, queues = named, [], None
     for turn in range(rounds + 1):
         moved = expired.mapInArrow(
             lambda batches, centroids=centroids, drifted=drifted: _rescan(centroids, drifted, names, batches), schema
         )
         name = f"queue-{turn}"
         staging.write(moved.sortWithinPartitions("__cluster", "__key"), name)
-        runs.append(name)
         made = spark.read.schema(schema).parquet(staging.paths[name])
         rescanned.append(made.count())
+        if len(runs) >= MOST_RUNS or sum(runs.values()) > 2 * rescanned[0]:
+            old = list(runs)
+            left = staging.write(queues.where(_between(drifted, None, k)).sortWithinPartitions("__cluster", "__key"), f"left-{turn}")
+            runs = {f"left-{turn}": left.count()}
+            staging.drop(*old)
+        runs[name] = rescanned[-1]
         if turn == rounds:
             break
         parts = made.where(F.col("__cluster") != F.col("__was")).mapInArrow(
@@ -172,11 +177,6 @@ def cluster(
         others = np.array([max([*drift[:c], *drift[c + 1 :]], default=0.0) for c in range(k)])
         before, drifted, centroids = drifted, drifted + drift + others, moved_to
         queues = spark.read.schema(schema).parquet(*(staging.paths[r] for r in runs))
-        if len(runs) >= MOST_RUNS:
-            left = queues.where(_between(before, None, k)).sortWithinPartitions("__cluster", "__key")
-            queues, old = staging.write(left, f"queues-{turn}"), runs
-            staging.drop(*old)
-            runs = [f"queues-{turn}"]
         expired = queues.where(_between(before, drifted, k))
     queues = spark.read.schema(schema).parquet(*(staging.paths[r] for r in runs))
     result = staged(_assigned(queues.where(_between(drifted, None, k)), own, centroids.tolist()), "clustered")
