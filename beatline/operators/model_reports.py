@@ -1,10 +1,10 @@
 """Reports on stored predictions and training runs."""
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from beatline.functions.sampling import key_fraction
 from beatline.operators.clean import require_columns
+from beatline.session import Staging
 
 BINS = 50
 TOP_FEATURES = 15
@@ -84,11 +84,29 @@ def quality_scores(counts: DataFrame) -> DataFrame:
 
 
 def area_under_roc(predictions: DataFrame, label: str, score: str) -> float:
-    """Exact at any number of different scores; the evaluator's default would put more than a thousand in bins."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0
+    """The share of (positive, negative) pairs that the score puts in order, ties half: exact at any number of scores.
+
+    Rows are counted per score first.  The scores are then dealt over tasks by range, so that the negatives below a score are
+    those of all ranges before its own, one number per range, and those below it in its range.  0 where a class is absent.
+    """
+    staging = Staging(predictions.sparkSession)
+    known = predictions.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
+    counted = known.dropna().groupBy("score").agg(
+        F.count_if(F.col("label") > 0.5).alias("positives"), F.count_if(F.col("label") <= 0.5).alias("negatives")
+    )
+    # written, so that the ranges stay as they are when a task is repeated
+    ranges = staging.write(
+        counted.repartitionByRange("score").withColumn("range", F.spark_partition_id()), "score-ranges"
     )
-    return evaluator.evaluate(predictions)
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranges.groupBy("range").agg(F.sum("negatives").alias("n"))
+    begins = totals.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.withColumn("below", F.coalesce(F.sum("negatives").over(below), F.lit(0))).join(begins, "range")
+    won = F.col("positives") * (F.col("begin") + F.col("below") + F.col("negatives") / 2)
+    sums = placed.agg(F.sum(won), F.sum("positives").cast("double"), F.sum("negatives").cast("double")).first()
+    staging.drop("score-ranges")
+    return sums[0] / (sums[1] * sums[2]) if sums[1] and sums[2] else 0.0
 
 
 def probability_histogram(predictions: DataFrame, column: str = "prob_domestic", bins: int = BINS) -> DataFrame:

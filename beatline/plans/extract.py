@@ -15,14 +15,17 @@ def run_increment(
 
     The end of the increment is fixed before anything is sent and records after it wait for the next run,
     so a record that arrives meanwhile is neither lost nor skipped.  The cursor is saved after the data:
-    a crash in between sends records again, and the cleaning keeps one of each.
+    a crash in between sends records again, and the cleaning keeps one of each.  Of two runs at once the second to
+    end is refused with ``CommitConflict``; it has sent its records too.
     """
     spark = table.sparkSession
-    saved = changes.fixed(changes.start_cursor(spark) if full else changes.load_cursor(spark, cursor_path))
+    number, saved = changes.numbered_cursor(spark, cursor_path)
+    if full:
+        saved = changes.start_cursor(spark)
     changed = changes.incremental_load(table, saved, lookback_hours)
     until = changes.fixed(changes.next_cursor(changed, saved))
     publish(as_messages(changes.changes_until(changed, until), keep_nulls=False), **sink)
-    save_cursor(until, cursor_path)
+    save_cursor(until, cursor_path, after=number)
     return until
 
 
@@ -39,12 +42,14 @@ def run_csv_bootstrap(
     """Publish a CSV export and save the cursor after it; ``run_increment`` goes on from there, at once if ``table`` is given.
 
     The cursor is observed on the rows as they are sent, so the export is read once.  Without a readable
-    change time no cursor is saved.  An export without IDs is sent under row numbers.
+    change time no cursor is saved.  An export without IDs is sent under the numbers of its rows, from 1.
     """
     seen = Observation("csv")
-    rows = read_csv(spark, csv_path, max_rows, multi_line)
+    # a header line tells whether there are IDs
+    numbered = None if "ID" in read_csv(spark, csv_path, multi_line=multi_line).columns else "_row"
+    rows = read_csv(spark, csv_path, max_rows, multi_line, row_number=numbered)
     rows = rows.observe(seen, changes.csv_last(rows.columns, numeric_id).alias("last"))
-    publish(as_messages(rows), **sink)
+    publish(as_messages(rows, row_number=numbered), **sink)
     last = seen.get["last"]
     found = [] if last is None else [(last["last_updated_on"], last["last_id"])]
     cursor = spark.createDataFrame(found, "last_updated_on string, last_id string")

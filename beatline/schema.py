@@ -95,6 +95,7 @@ CURSOR_SCHEMA = T.StructType(
     [
         T.StructField("last_updated_on", T.StringType()),
         T.StructField("last_id", T.StringType()),
+        T.StructField("last_missing", T.BooleanType()),
         T.StructField("saved_at", T.TimestampType()),
         T.StructField("sequence", T.LongType()),
     ]

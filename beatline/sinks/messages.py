@@ -5,14 +5,19 @@ from pyspark.sql import DataFrame, functions as F
 from beatline import schema
 
 
-def as_messages(df: DataFrame, keep_nulls: bool = True, key: str = "ID") -> DataFrame:
-    """``key`` and ``value`` of every record; a table without the key column numbers its rows.
+def as_messages(
+    df: DataFrame, keep_nulls: bool = True, key: str = "ID", row_number: str | None = None
+) -> DataFrame:
+    """``key`` and ``value`` of every record.
 
-    The numbers are unique and ascend within a task, but leave gaps between tasks.
+    A table without the key column takes ``row_number`` as the key; that column is no part of the value.  Without either
+    rows are numbered uniquely, with gaps between tasks.
     """
-    record_key = F.col(key).cast("string") if key in df.columns else F.monotonically_increasing_id().cast("string")
+    number = F.col(row_number) if row_number else F.monotonically_increasing_id()
+    record_key = (F.col(key) if key in df.columns else number).cast("string")
     options = {"ignoreNullFields": str(not keep_nulls).lower()}
-    return df.select(record_key.alias("key"), F.to_json(F.struct(*df.columns), options).alias("value"))
+    fields = [c for c in df.columns if c != row_number]
+    return df.select(record_key.alias("key"), F.to_json(F.struct(*fields), options).alias("value"))
 
 
 def api_layout(df: DataFrame) -> DataFrame:

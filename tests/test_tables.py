@@ -108,8 +108,8 @@ def test_results_are_replaced(spark, raw, tmp_path):
     second = etl.process(raw(record(Date="2020-01-01T00:00:00")))
     for table in (first, second):
         reports.publish_results(table, str(tmp_path))
-    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/crime_by_year").collect()] == [(2020, 1)]
-    assert spark.read.parquet(f"{tmp_path}/arrest_rates").first()["arrest_rate"] == 100.0
+    assert [tuple(r) for r in sources.read_result(spark, f"{tmp_path}/crime_by_year").collect()] == [(2020, 1)]
+    assert sources.read_result(spark, f"{tmp_path}/arrest_rates").first()["arrest_rate"] == 100.0
 
 
 def test_rates_treat_unknown_arrests_apart(raw):

@@ -11,8 +11,8 @@ from beatline.operators import areas, clean, features, learning, model_reports,
 from beatline.plans import etl, extract, reports, training
 from beatline.session import apply_settings, staged, staging_path
 from beatline.sinks import messages as message_sink, tables as table_sink
-from beatline.sources import boundaries, changes, messages as message_source, runs, tables
-from beatline.streaming import ingest
+from beatline.sources import boundaries, changes, feed, messages as message_source, runs, tables
+from beatline.streaming import ingest, latest
 from workload import derive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,7 +235,37 @@ def result_table_replace(spark, sf_dir):
     # what an earlier run left is gone after the second one
     table_sink.replace_result(trends.type_counts(processed), f"{folder}/crime_by_year")
     table_sink.replace_result(reports.result_collections(processed)["crime_by_year"], f"{folder}/crime_by_year")
-    return spark.read.parquet(f"{folder}/crime_by_year")
+    return tables.read_result(spark, f"{folder}/crime_by_year")
+
+
+def _collection(name):
+    """A collection as a reader finds it after it was published over an older version."""
+
+    def published(spark, sf_dir):
+        path = f"{staging_path(spark, 'results')}/{name}"
+        table_sink.replace_result(spark.range(1), path)
+        table_sink.replace_result(reports.result_collections(_processed(spark, sf_dir))[name], path)
+        return tables.read_result(spark, path)
+
+    published.__name__ = f"collection_{name}"
+    return _query(published)
+
+
+for _name in ("crime_by_year", "hourly_patterns", "arrest_rates", "district_analysis"):
+    _collection(_name)
+
+
+@_query
+def processed_upsert(spark, sf_dir):
+    """A processed table of most records, then a delivery of the rest: rows move to other years, others are new."""
+    folder = staging_path(spark, "upsert")
+    raw = derive.raw_incidents(spark, sf_dir)
+    later = F.col("event_id") % 10 == 9
+    for name, part in (("first", raw.where(~later)), ("second", raw.where(later))):
+        part.drop("event_id").write.parquet(f"{folder}/{name}")
+        etl.run_upsert(spark, f"{folder}/{name}", f"{folder}/processed")
+    stored = tables.read_processed(spark, f"{folder}/processed")
+    return stored.select("ID", "Case Number", "Year", "crime_category", "risk_score")
 
 
 # ---- areas ----
@@ -293,6 +323,11 @@ def heat_grid(spark, sf_dir):
     return areas.heat_grid(_processed(spark, sf_dir))
 
 
+@_query
+def heat_density(spark, sf_dir):
+    return areas.heat_density(_processed(spark, sf_dir), cell=0.01)
+
+
 @_query
 def coordinate_sample(spark, sf_dir):
     return areas.sample_coordinates(_processed(spark, sf_dir))
@@ -327,6 +362,37 @@ def stream_restart(spark, sf_dir):
     return tables.read_raw(spark, f"{folder}/raw")
 
 
+@_query
+def stream_latest(spark, sf_dir):
+    """Three deliveries of messages, each with records of the whole month: the last record of each ID."""
+    folder = staging_path(spark, "latest")
+    sent = derive.messages(spark, sf_dir)
+    early, middle = F.col("kind") == "view", F.col("kind").isin("click", "error")
+    for delivery in (sent.where(early), sent.where(middle), sent.where(~early & ~middle)):
+        delivery.select("value").write.mode("append").text(f"{folder}/messages")
+        records = ingest.parse_messages(message_source.stream_messages(spark, "text", f"{folder}/messages"))
+        latest.follow_latest(records, f"{folder}/sent", f"{folder}/checkpoint", delay="60 days").awaitTermination()
+    return latest.read_latest(spark, f"{folder}/sent").select("ID", "Case Number", "Updated On")
+
+
+@_query
+def change_stream(spark, sf_dir):
+    """Changes of a feed with ties, IDs that are no numbers and missing IDs, in two deliveries; a third run finds nothing new."""
+    folder = staging_path(spark, "feed")
+    source = staged(_tied_source(spark, sf_dir, missing=True), "source")
+    middle = source.agg(F.percentile_approx(F.unix_seconds(times.change_time(F.col("Updated On"))), 0.5)).scalar()
+    second = F.unix_seconds(times.change_time(F.col("Updated On")))
+    # records of one moment are in both deliveries: those with a number are in the first
+    early = (second < middle) | ((second == middle) & F.coalesce(F.col("ID").try_cast("bigint").isNotNull(), F.lit(False)))
+    for delivery in (source.where(early), source.where(~early), None):
+        if delivery is not None:
+            feed.append_changes(delivery, f"{folder}/feed")
+        changed = feed.stream_changes(spark, f"{folder}/feed").writeStream.format("parquet")
+        changed = changed.option("path", f"{folder}/taken").option("checkpointLocation", f"{folder}/checkpoint")
+        changed.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/taken").select("ID", "Case Number", "Updated On")
+
+
 @_query
 def publish_messages(spark, sf_dir):
     path = staging_path(spark, "published")
@@ -402,14 +468,33 @@ def keyset_page(spark, sf_dir):
 @_query
 def keyset_pages_union(spark, sf_dir):
     """Page after page of a source with ties and IDs that are no numbers: all records with a change time."""
+    return _all_pages(spark, staged(_tied_source(spark, sf_dir), "source"))
+
+
+@_query
+def keyset_pages_missing_ids(spark, sf_dir):
+    """Page after page where some records, the last ones too, have no ID."""
+    return _all_pages(spark, staged(_tied_source(spark, sf_dir, missing=True), "source"))
+
+
+def _tied_source(spark, sf_dir, missing=False):
+    """Records whose change time is cut to the hour, some with IDs that are no numbers; with ``missing`` those of the last hour have none."""
     event = F.col("event_id")
     hour = F.concat(F.substring("Updated On", 1, 13), F.lit(":00:00.000"))
     source = derive.raw_incidents(spark, sf_dir).select(
         F.when(event % 50 == 0, F.concat(F.lit("x"), event % 7)).otherwise(F.col("ID")).alias("ID"),
         "Case Number",
         F.when(event % 59 != 9, hour).alias("Updated On"),
+        "event_id",
     )
-    source = staged(source, "source")
+    if missing:
+        last = F.col("Updated On") == source.agg(F.max("Updated On")).scalar()
+        gone = (event % 40 == 3) | F.coalesce(last, F.lit(False))
+        source = source.withColumn("ID", F.when(~gone, F.col("ID")))
+    return source.drop("event_id")
+
+
+def _all_pages(spark, source):
     cursor, pages = changes.start_cursor(spark), []
     size = source.count() // 3 + 1
     while True:
@@ -426,14 +511,15 @@ def dedup_ties(spark, sf_dir):
     raw = _raw(spark, sf_dir).withColumn("Updated On", F.lit(None).cast("string")).where(F.col("ID").isNotNull())
     flags = F.array(F.lit(None).cast("string"), F.lit("true"))
     copies = raw.drop("Arrest").withColumn("Arrest", F.explode(flags)).select(*raw.columns)
-    return clean.latest_per_id(copies).select("ID", "Case Number", "Arrest")
+    return clean.latest_per_id(copies, portable_ties=True).select("ID", "Case Number", "Arrest")
 
 
 @_query
 def next_cursor(spark, sf_dir):
     source = _source(spark, sf_dir)
     cursor = _half_cursor(spark, source)
-    return changes.next_cursor(changes.incremental_load(source, cursor), cursor)
+    following = changes.next_cursor(changes.incremental_load(source, cursor), cursor)
+    return following.select("last_updated_on", "last_id")
 
 
 @_query
@@ -460,6 +546,24 @@ def csv_bootstrap_no_id(spark, sf_dir):
     return cursor.select(sent.scalar().alias("rows_sent"), "last_updated_on", "last_id")
 
 
+@_query
+def csv_bootstrap_limited(spark, sf_dir):
+    """The first rows of an export without IDs: their keys are the numbers of the rows, whatever parts the file is read in."""
+    folder = staging_path(spark, "csv")
+    rows = _raw(spark, sf_dir).drop("ID").orderBy("Case Number").coalesce(1)
+    rows.write.option("header", True).option("escape", '"').csv(f"{folder}/export")
+    part = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        limit = _raw(spark, sf_dir).count() // 2
+        sink = {"sink_format": "parquet", "path": f"{folder}/published"}
+        extract.run_csv_bootstrap(spark, f"{folder}/export", f"{folder}/cursor", max_rows=limit, **sink)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+    sent = spark.read.parquet(f"{folder}/published")
+    return sent.select(F.col("key").cast("bigint").alias("row_number"), F.get_json_object("value", "$['Case Number']").alias("case_number"))
+
+
 @_query
 def increment_runs_typed(spark, sf_dir):
     """Three increments over a typed change time with fractions of seconds: each record is sent once, the last too."""
@@ -664,12 +768,26 @@ def probability_sample(spark, sf_dir):
 
 @_query
 def model_metrics(spark, sf_dir):
-    judged, counts = _domestic_confusion(spark, sf_dir)
+    judged, _ = _domestic_confusion(spark, sf_dir)
+    # three columns, written once and read by both scores
+    judged = staged(judged.select("label", "predicted_is_domestic", "prob_domestic"), "judged")
+    counts = model_reports.confusion_counts(judged, "label", "predicted_is_domestic")
     auc = model_reports.area_under_roc(judged.dropna(subset=["label"]), "label", "prob_domestic")
     scores = model_reports.quality_scores(counts).withColumn("auc", F.lit(auc))
     return scores.select(*[F.round(c, 9).alias(c) for c in model_reports.METRICS])
 
 
+@_query
+def model_metrics_exact(spark, sf_dir):
+    """The area under the curve where nearly every record has a score of its own."""
+    number = F.col("ID").cast("bigint")
+    score = (number * 7919 % 65521) / F.lit(65521.0)
+    label = F.col("is_domestic_incident").cast("double")
+    scored = staged(_processed(spark, sf_dir).select(label.alias("label"), score.alias("score")), "scored")
+    auc = model_reports.area_under_roc(scored, "label", "score")
+    return scored.agg(F.count_distinct("score").alias("scores"), F.round(F.lit(auc), 9).alias("auc"))
+
+
 @_query
 def top3_candidates(spark, sf_dir):
     number = F.col("ID").cast("bigint")

@@ -1,5 +1,7 @@
 """SQL twins of the registered queries, for DuckDB over the same ``events`` table."""
 
+import re
+
 from beatline.functions import offences
 from beatline.operators import learning
 from workload.derive import CRIME_CLASSES, LOCATIONS, PRIMARY_TYPES
@@ -321,6 +323,16 @@ _MATRIX_COLUMNS = ",\n    ".join(
 TIED = CHANGES.replace('"Updated On" END AS "Updated On") FROM raw', """substr("Updated On", 1, 13) || ':00:00.000' END AS "Updated On",
     CASE WHEN event_id % 50 = 0 THEN 'x' || (event_id % 7) ELSE "ID" END AS "ID") FROM raw""")
 
+# The same with missing IDs, those of the last hour all.
+TIED_MISSING = TIED.replace(
+    "keyed AS (",
+    """untold AS (
+  SELECT * REPLACE (CASE WHEN event_id % 40 <> 3 AND "Updated On" IS DISTINCT FROM (SELECT max("Updated On") FROM source)
+                         THEN "ID" END AS "ID") FROM source
+),
+keyed AS (""",
+).replace("AS n FROM source", "AS n FROM untold")
+
 LARGE_AREAS = AREAS.replace("count(*) AS crime_count", "count(*) * 1000000000 AS crime_count")
 
 # Every record twice, once without its flag and both without a change time, so only the last resort tells them apart.
@@ -330,6 +342,16 @@ _RAW_NAMES = sorted(["ID", "Case Number", "Date", "Block", "IUCR", "Primary Type
 _DIGEST = "sha256(" + " || chr(1) || ".join(f"""coalesce('=' || CAST("{c}" AS VARCHAR), '')""" for c in _RAW_NAMES) + ")"
 
 
+def _second_delivery() -> str:
+    """The steps from ranked to processed for the other records, under names of their own."""
+    steps = PROCESSED[PROCESSED.index("ranked AS (") :]
+    steps = steps.replace("FROM raw\n  WHERE", "FROM raw\n  WHERE event_id % 10 = 9 AND")
+    for name in ("ranked", "latest", "clean", "timed", "parts", "featured", "scored", "processed"):
+        steps = steps.replace(f"{name} AS (", f"{name}_2 AS (")
+        steps = re.sub(rf"FROM {name}\b", f"FROM {name}_2", steps)
+    return steps
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
@@ -436,6 +458,34 @@ def statements() -> dict[str, str]:
         "result_table_replace": _with(
             PROCESSED, 'SELECT "Year", count(*) AS crime_count FROM processed GROUP BY 1'
         ),
+        "collection_crime_by_year": _with(
+            PROCESSED, 'SELECT "Year", count(*) AS crime_count FROM processed GROUP BY 1'
+        ),
+        "collection_hourly_patterns": _with(
+            PROCESSED,
+            """SELECT crime_hour, CASE WHEN crime_day_of_week IN (1, 7) THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+                 count(*) AS crime_count FROM processed GROUP BY 1, 2""",
+        ),
+        "collection_arrest_rates": _with(
+            PROCESSED,
+            """SELECT "Primary Type", count(*) AS total_crimes, count(*) FILTER (was_arrest_made) AS arrests,
+                 count(*) FILTER (was_arrest_made) / count(*) * 100 AS arrest_rate
+               FROM processed GROUP BY 1 ORDER BY arrest_rate DESC, "Primary Type" LIMIT 20""",
+        ),
+        "collection_district_analysis": _with(
+            PROCESSED,
+            """SELECT "District", count(*) AS crime_count,
+                 avg(CASE WHEN was_arrest_made THEN 1 ELSE 0 END) AS arrest_rate FROM processed GROUP BY 1""",
+        ),
+        # the first delivery cleaned by itself, then the second over it
+        "processed_upsert": _with(
+            PROCESSED.replace("FROM raw\n  WHERE", "FROM raw\n  WHERE event_id % 10 <> 9 AND")
+            + ",\nfirst AS (SELECT * FROM processed),\n"
+            + _second_delivery(),
+            """SELECT "ID", "Case Number", "Year", crime_category, risk_score FROM first
+               WHERE "ID" NOT IN (SELECT "ID" FROM processed_2)
+               UNION ALL SELECT "ID", "Case Number", "Year", crime_category, risk_score FROM processed_2""",
+        ),
         # areas
         "community_area_counts": _with(AREAS, "SELECT * FROM areas"),
         "area_counts_on_boundaries": _with(
@@ -468,6 +518,25 @@ boundaries AS (
                  CAST(floor("Longitude" / 0.01::DOUBLE) AS BIGINT) AS lon_cell, count(*) AS crime_count
                FROM processed WHERE "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL GROUP BY 1, 2""",
         ),
+        "heat_density": _with(
+            PROCESSED
+            + """,
+kernel AS (
+  SELECT y, x, CAST(floor(1000 * least(1.0::DOUBLE, (7 - sqrt(y * y + x * x)) / 4)) AS BIGINT) AS w
+  FROM range(-7, 8) AS a(y), range(-7, 8) AS b(x) WHERE sqrt(y * y + x * x) < 7
+),
+fine AS (
+  SELECT CAST(floor("Latitude" / 0.01::DOUBLE) AS BIGINT) AS a, CAST(floor("Longitude" / 0.01::DOUBLE) AS BIGINT) AS b,
+    count(*) AS n
+  FROM processed WHERE "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL GROUP BY 1, 2
+),
+cells AS (
+  SELECT zoom, CAST(floor(a / (2 ** zoom)) AS BIGINT) AS a, CAST(floor(b / (2 ** zoom)) AS BIGINT) AS b, sum(n) AS n
+  FROM fine, (VALUES (0), (1), (2)) AS levels(zoom) GROUP BY 1, 2, 3
+)""",
+            """SELECT zoom, a + y AS lat_cell, b + x AS lon_cell, CAST(sum(n * w) AS BIGINT) / 1000 AS density
+               FROM cells, kernel WHERE w > 0 GROUP BY 1, 2, 3""",
+        ),
         "coordinate_sample": _with(
             PROCESSED,
             f"""SELECT "Latitude", "Longitude" FROM processed
@@ -505,6 +574,21 @@ boundaries AS (
         "keyset_page": _with(CHANGES, f"SELECT \"ID\", \"Updated On\" FROM ({_AFTER_CURSOR}) JOIN "
                              "(SELECT \"Case Number\", u, n FROM keyed) USING (\"Case Number\") ORDER BY u, n LIMIT 1000"),
         "keyset_pages_union": _with(TIED, 'SELECT "ID", "Case Number", "Updated On" FROM keyed WHERE u IS NOT NULL'),
+        "keyset_pages_missing_ids": _with(
+            TIED_MISSING, 'SELECT "ID", "Case Number", "Updated On" FROM keyed WHERE u IS NOT NULL'
+        ),
+        "change_stream": _with(TIED_MISSING, 'SELECT "ID", "Case Number", "Updated On" FROM keyed WHERE u IS NOT NULL'),
+        "stream_latest": _with(
+            INGESTED,
+            """SELECT "ID", "Case Number", "Updated On" FROM ingested WHERE "ID" IS NOT NULL AND "Updated On" IS NOT NULL
+               QUALIFY row_number() OVER (PARTITION BY "ID"
+                   ORDER BY try_strptime("Updated On", '%Y-%m-%dT%H:%M:%S.%g') DESC, "Case Number" DESC) = 1""",
+        ),
+        "csv_bootstrap_limited": _with(
+            RAW,
+            """SELECT row_number() OVER (ORDER BY encode("Case Number")) AS row_number, "Case Number" AS case_number FROM raw
+               QUALIFY row_number <= (SELECT count(*) // 2 FROM raw)""",
+        ),
         "dedup_ties": _with(
             RAW
             + f""",
@@ -627,6 +711,19 @@ walked AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS seen FROM steps)""",
                  round((SELECT sum(truth * f1) / sum(truth) FROM per_class), 9) AS f1,
                  round((SELECT sum(neg * (seen - pos / 2.0::DOUBLE)) / (sum(pos) * sum(neg)) FROM walked), 9) AS auc""",
         ),
+        "model_metrics_exact": _with(
+            PROCESSED
+            + """,
+judged AS (
+  SELECT CAST(is_domestic_incident AS INTEGER) AS label, (CAST("ID" AS BIGINT) * 7919 % 65521) / 65521.0::DOUBLE AS p
+  FROM processed
+),
+steps AS (SELECT p, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM judged
+          WHERE label IS NOT NULL GROUP BY 1),
+walked AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS seen FROM steps)""",
+            """SELECT (SELECT count(DISTINCT p) FROM judged) AS scores,
+                 round((SELECT sum(neg * (seen - pos / 2.0::DOUBLE)) / (sum(pos) * sum(neg)) FROM walked), 9) AS auc""",
+        ),
         "top3_candidates": _with(
             PROCESSED
             + f""",
