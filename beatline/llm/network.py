@@ -3,17 +3,20 @@
 import heapq
 import math
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
-HIDDEN = 24
-# Classes, and words of a class, are the square root of the words, 128 at most: 1.6 million weights, 6.4 MB.
-MOST_WORDS = 128 * 128
+HIDDEN = 16
+# Classes, and words of a class, are the square root of the words, 80 at most: 0.42 million weights, 1.7 MB.
+MOST_WORDS = 80 * 80
 WINDOW = 16
 _LANES = 2048
 # Lanes in training: as many as leave so many steps, between these bounds.
-_STEPS, _LEAST_LANES, _MOST_LANES = 200, 16, 256
-_RATE, _CLIP = 1e-2, 1.0
+_STEPS, _LEAST_LANES, _MOST_LANES = 50, 16, 1024
+_RATE, _CLIP = 3e-2, 1.0
+# Rows of a block of logits, which stays in the cache, and the greatest logit.
+_BLOCK, _MOST = 1024, 60.0
 
 
 @dataclass
@@ -61,11 +64,23 @@ class Network:
         return np.concatenate([part.ravel() for part in self.parts()])
 
     def with_flat(self, values: np.ndarray) -> "Network":
+        return Network.of_flat(values, self.shapes())
+
+    def shapes(self) -> list[tuple[int, ...]]:
+        return [part.shape for part in self.parts()]
+
+    @classmethod
+    def of_flat(cls, values: np.ndarray, shapes: list[tuple[int, ...]]) -> "Network":
         parts, at = [], 0
-        for part in self.parts():
-            parts.append(values[at : at + part.size].reshape(part.shape).astype(np.float32))
-            at += part.size
-        return Network(*parts)
+        for shape in shapes:
+            size = math.prod(shape)
+            parts.append(values[at : at + size].reshape(shape).astype(np.float32))
+            at += size
+        return cls(*parts)
+
+    def packed(self) -> list[np.ndarray]:
+        """The parts for sending: halves of the precision, but for the biases, which are logarithms of shares."""
+        return [values if i in (3, 5) else values.astype(np.float16) for i, values in enumerate(self.parts())]
 
     @property
     def classes(self) -> int:
@@ -84,21 +99,33 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithm of the sum by row."""
-    top = logits.max(axis=1, keepdims=True)
-    e = np.exp(logits - top)
-    total = e.sum(axis=1, keepdims=True)
-    return e / total, (top + np.log(total))[:, 0]
+def _exponentials(states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the logits, and their sum by row; where they overflow, no logit counts above ``_MOST``."""
+    e = states @ weights
+    e += bias
+    with np.errstate(over="ignore"):
+        np.exp(e, out=e)
+    sums = e @ _ones(e.shape[1], e.dtype.char)
+    if not np.isfinite(sums).all():
+        e = states @ weights + bias
+        np.exp(np.minimum(e, e.dtype.type(_MOST), out=e), out=e)
+        sums = e.sum(axis=1)
+    return e, np.maximum(sums, e.dtype.type(1e-37))
+
+
+@cache
+def _ones(n: int, kind: str) -> np.ndarray:
+    return np.ones(n, dtype=kind)
 
 
 def _by_class(targets: np.ndarray, classes_of: int, class_words: int):
-    """Rows of the targets of each class that occurs, without the class of all other words."""
+    """Order of the targets by class, and (class, begin, end) of the pieces of that order, without the class of all other words."""
     order = np.argsort(targets, kind="stable")
-    classes = targets[order] // class_words
-    ends = np.searchsorted(classes, np.arange(classes_of + 1))
-    for k in np.unique(classes[: ends[classes_of]]):
-        yield int(k), order[ends[k] : ends[k + 1]]
+    ends = np.searchsorted(targets[order] // class_words, np.arange(classes_of + 1))
+    pieces = []
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        pieces += [(k, a, min(a + _BLOCK, ends[k + 1])) for a in range(ends[k], ends[k + 1], _BLOCK)]
+    return order, pieces
 
 
 def _step(net: Network, h: np.ndarray, ids: np.ndarray):
@@ -113,8 +140,8 @@ def _step(net: Network, h: np.ndarray, ids: np.ndarray):
 def log_likelihoods(net: Network, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log-probability of each whole text, ``ids[bounds[i]:bounds[i + 1]]``; others count with their class only.
 
-    Texts run side by side, longest first, so a lane ends for good when its text does; the state goes from window to
-    window until then.
+    Texts run side by side, longest first, so a lane ends for good when its text does; the state goes on from token to
+    token until then.
     """
     lengths = np.diff(bounds)
     out = np.zeros(len(lengths))
@@ -126,32 +153,44 @@ def log_likelihoods(net: Network, ids: np.ndarray, bounds: np.ndarray) -> np.nda
         h = np.zeros((len(lanes), net.u.shape[0]), dtype=np.float32)
         active = np.searchsorted(-size, -np.arange(size[0] + 1), side="left") if len(size) else []
         previous = np.full(len(lanes), net.words + 1)
-        for start in range(0, int(size[0]), WINDOW):
-            states, targets, rows = [], [], []
-            for t in range(start, min(start + WINDOW, int(size[0]))):
-                n = int(active[t])
-                h, _ = _step(net, h[:n], previous[:n])
-                previous = ids[begin[:n] + t]
-                states.append(h)
-                targets.append(previous)
-                rows.append(np.arange(n))
-            value = _log_probabilities(net, np.concatenate(states), np.concatenate(targets))
-            total += np.bincount(np.concatenate(rows), weights=value, minlength=len(lanes))
+        states, targets, rows, held = [], [], [], 0
+        for t in range(int(size[0])):
+            n = int(active[t])
+            h, _ = _step(net, h[:n], previous[:n])
+            previous = ids[begin[:n] + t]
+            states.append(h)
+            targets.append(previous)
+            rows.append(np.arange(n))
+            held += n
+            # the output does not act on the state, so it waits until a window's worth of all lanes is there
+            if held >= WINDOW * _LANES or t == size[0] - 1:
+                value = _log_probabilities(net, np.concatenate(states), np.concatenate(targets))
+                total += np.bincount(np.concatenate(rows), weights=value, minlength=len(lanes))
+                states, targets, rows, held = [], [], [], 0
         out[lanes] = total
     return out
 
 
 def _log_probabilities(net: Network, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    logits = states @ net.c + net.c_bias
-    top = logits.max(axis=1)
-    value = logits[np.arange(len(targets)), np.minimum(targets // net.class_words, net.classes)] - top
-    value = value - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-    for k, rows in _by_class(targets, net.classes, net.class_words):
-        inner = states[rows] @ net.w[k].T + net.w_bias[k]
-        top = inner.max(axis=1)
-        value[rows] += inner[np.arange(len(rows)), targets[rows] % net.class_words] - top
-        value[rows] -= np.log(np.exp(inner - top[:, None]).sum(axis=1))
-    return value.astype(np.float64)
+    order, pieces = _by_class(targets, net.classes, net.class_words)
+    states, targets = states[order], targets[order]
+    classes = np.minimum(targets // net.class_words, net.classes)
+    share, total = np.ones(len(targets)), np.ones(len(targets))
+    for a in range(0, len(targets), _BLOCK):
+        block = slice(a, min(a + _BLOCK, len(targets)))
+        e, sums = _exponentials(states[block], net.c, net.c_bias)
+        share[block] = e[np.arange(len(e)), classes[block]]
+        total[block] = sums
+    value = np.log(np.maximum(share, 1e-37)) - np.log(total)
+    for k, a, b in pieces:
+        e, sums = _exponentials(states[a:b], net.w[k].T, net.w_bias[k])
+        share[a:b] = e[np.arange(b - a), targets[a:b] % net.class_words]
+        total[a:b] = sums
+    ends = pieces[-1][2] if pieces else 0
+    value[:ends] += np.log(np.maximum(share[:ends], 1e-37)) - np.log(total[:ends])
+    out = np.empty(len(targets))
+    out[order] = value
+    return out
 
 
 def _lanes(lengths: np.ndarray, most: int) -> list[np.ndarray]:
@@ -233,20 +272,31 @@ class Trainer:
         net = self.net
         states = np.concatenate([x[3] for x in trace])
         targets = np.concatenate([x[4] for x in trace])
-        scale = np.float32(1 / len(targets))
-        probabilities, _ = _softmax(states @ net.c + net.c_bias)
-        probabilities[np.arange(len(targets)), np.minimum(targets // net.class_words, net.classes)] -= 1
-        probabilities *= scale
-        d_states = probabilities @ net.c.T
+        scale = states.dtype.type(1 / len(targets))
+        order, pieces = _by_class(targets, net.classes, net.class_words)
+        by_class, targets_by = states[order], targets[order]
+        classes_by = np.minimum(targets_by // net.class_words, net.classes)
+        d_by_class = np.empty_like(by_class)
+        d_c, d_c_bias = np.zeros_like(net.c), np.zeros_like(net.c_bias)
+        for a in range(0, len(targets), _BLOCK):
+            block = slice(a, min(a + _BLOCK, len(targets)))
+            e, sums = _exponentials(by_class[block], net.c, net.c_bias)
+            e *= (scale / sums)[:, None]
+            e[np.arange(len(e)), classes_by[block]] -= scale
+            d_by_class[block] = e @ net.c.T
+            d_c += by_class[block].T @ e
+            d_c_bias += e.sum(axis=0)
+        for k, a, b in pieces:
+            e, sums = _exponentials(by_class[a:b], net.w[k].T, net.w_bias[k])
+            e *= (scale / sums)[:, None]
+            e[np.arange(b - a), targets_by[a:b] % net.class_words] -= scale
+            self.d_w[k] += e.T @ by_class[a:b]
+            self.d_w_bias[k] += e.sum(axis=0)
+            d_by_class[a:b] += e @ net.w[k]
+        d_states = np.empty_like(d_by_class)
+        d_states[order] = d_by_class
         d_u = np.zeros_like(net.u)
-        classes = []
-        for k, rows in _by_class(targets, net.classes, net.class_words):
-            classes.append(k)
-            inner, _ = _softmax(states[rows] @ net.w[k].T + net.w_bias[k])
-            inner[np.arange(len(rows)), targets[rows] % net.class_words] -= 1
-            inner *= scale
-            self.d_w[k], self.d_w_bias[k] = inner.T @ states[rows], inner.sum(axis=0)
-            d_states[rows] += inner @ net.w[k]
+        classes = sorted({k for k, _, _ in pieces})
         end = len(targets)
         d_next = np.zeros((0, net.u.shape[0]), dtype=np.float32)
         inputs_all, d_inputs = [], []
@@ -265,9 +315,11 @@ class Trainer:
             inputs_all.append(inputs)
             d_inputs.append(np.concatenate([d_z, d_r, d_new], axis=1))
         touched = self._add_rows(self.d_x, np.concatenate(inputs_all), np.concatenate(d_inputs))
-        known, every = np.array(classes, dtype=np.int64), slice(None)
+        every = slice(None)
+        # where most classes occur, all are brought up to date, which spares copies
+        known = np.array(classes, dtype=np.int64) if 2 * len(classes) < net.classes else every
         self.rows = [touched, every, every, every, known, known]
-        self._update([self.d_x, d_u, states.T @ probabilities, probabilities.sum(axis=0), self.d_w, self.d_w_bias])
+        self._update([self.d_x, d_u, d_c, d_c_bias, self.d_w, self.d_w_bias])
 
     @staticmethod
     def _add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -281,13 +333,27 @@ class Trainer:
         """Adam on the rows of this step; the others keep their weights and averages."""
         self.steps += 1
         parts = [grad[rows] for grad, rows in zip(grads, self.rows, strict=True)]
-        norm = np.sqrt(sum(float((g * g).sum()) for g in parts))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in parts))
         clip = np.float32(min(1.0, _CLIP / max(norm, 1e-12)))
         rate = np.float32(_RATE * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps))
         for part, whole, grad, m, v, rows in zip(self.net.parts(), grads, parts, self.first, self.second, self.rows, strict=True):
-            grad = grad * clip
-            first = m[rows] + np.float32(0.1) * (grad - m[rows])
-            second = v[rows] + np.float32(0.001) * (grad * grad - v[rows])
-            m[rows], v[rows] = first, second
-            part[rows] -= rate * first / (np.sqrt(second) + np.float32(1e-8))
+            first, second = m[rows], v[rows]
+            # in place: slices are views, chosen rows are copies that go back
+            step = grad * clip
+            square = step * step
+            step -= first
+            step *= np.float32(0.1)
+            first += step
+            square -= second
+            square *= np.float32(0.001)
+            second += square
+            np.sqrt(second, out=square)
+            square += np.float32(1e-8)
+            np.divide(first, square, out=square)
+            square *= rate
+            if isinstance(rows, slice):
+                part -= square
+            else:
+                m[rows], v[rows] = first, second
+                part[rows] -= square
             whole[rows] = 0

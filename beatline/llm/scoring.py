@@ -16,7 +16,7 @@ from beatline.session import discard, staged, staging_path
 # Tokens whose counts every task holds, 24 bytes each; the counts of others come by a join.
 HEAD = 200_000
 # Words of the network's own at most; all others share buckets by hash, one for so many of them, and so many at most.
-OWN, BUCKET_WORDS, MOST_BUCKETS = 12_288, 16, network.MOST_WORDS - 12_288
+OWN, BUCKET_WORDS, MOST_BUCKETS = 4_800, 16, network.MOST_WORDS - 4_800
 # Rounds, replicas of a round, and documents of a replica each grow with the cube root of the training documents.
 LEAST_ROUNDS, LEAST_REPLICAS, ROUND_DOCUMENTS = 2, 2, 1_000
 END = seeds("end", 1)[0]
@@ -129,8 +129,10 @@ def summary(counts: DataFrame, most: int = HEAD) -> Counts:
     return made
 
 
-def _train(weights: np.ndarray, start: Network, batches) -> Iterator[pa.RecordBatch]:
-    trainer = Trainer(start.with_flat(weights))
+def _train(weights: list[np.ndarray], shapes: list[tuple[int, ...]], batches) -> Iterator[pa.RecordBatch]:
+    """What training changes in the weights, in pieces."""
+    start = np.concatenate([part.ravel().astype(np.float32) for part in weights])
+    trainer = Trainer(Network.of_flat(start, shapes))
     tokens = 0
     for batch in batches:
         texts = [np.frombuffer(ids, "<i4") for ids in batch.column("ids").to_pylist()]
@@ -138,9 +140,10 @@ def _train(weights: np.ndarray, start: Network, batches) -> Iterator[pa.RecordBa
             bounds = np.cumsum([0, *map(len, texts)])
             tokens += trainer.train(np.concatenate(texts), bounds)
     if tokens:
-        chunks = [part.astype("<f4").tobytes() for part in np.array_split(trainer.net.flat(), _CHUNKS)]
+        change = np.clip(trainer.net.flat() - start, -60_000, 60_000)
+        chunks = [part.astype("<f2").tobytes() for part in np.array_split(change, _CHUNKS)]
         made = [pa.array(range(_CHUNKS), pa.int32()), pa.array([tokens] * _CHUNKS, pa.int64()), pa.array(chunks, pa.binary())]
-        yield pa.RecordBatch.from_arrays(made, ["chunk", "tokens", "weights"])
+        yield pa.RecordBatch.from_arrays(made, ["chunk", "tokens", "change"])
 
 
 def _numbered(batch: pa.RecordBatch, text: str, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
@@ -169,18 +172,19 @@ def plan(documents: int) -> tuple[int, int]:
 
 def _average(table: pa.Table) -> pa.Table:
     tokens = np.array(table.column("tokens").to_pylist(), dtype=float)
-    weights = np.stack([np.frombuffer(x, "<f4") for x in table.column("weights").to_pylist()])
-    mean = (weights * (tokens / tokens.sum())[:, None]).sum(axis=0).astype("<f4").tobytes()
-    return pa.table({"chunk": table.column("chunk")[:1], "weights": pa.array([mean], pa.binary())})
+    changes = np.stack([np.frombuffer(x, "<f2").astype(float) for x in table.column("change").to_pylist()])
+    mean = (changes * (tokens / tokens.sum())[:, None]).sum(axis=0).astype("<f4").tobytes()
+    return pa.table({"chunk": table.column("chunk")[:1], "change": pa.array([mean], pa.binary())})
 
 
 def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "doc_id") -> Network:
     """The network, trained on every document, whole texts each.
 
-    Replicas start alike, each learns from its part of the round's documents, and their weights are averaged by tokens, once
-    a round; a digest of key and text deals each document to one round and one replica.  With more documents there are more
-    rounds, more replicas, and more documents for each.  A network's size is bounded whatever the corpus, and only the
-    averages leave the cluster.
+    Replicas start alike, each learns in a task of its own from its part of the round's documents, and what they change in the
+    weights is averaged by tokens, once a round; a digest of key and text deals each document to one round and one replica.  With more
+    documents there are more rounds, more replicas, and more documents for each.  A network's size is bounded whatever
+    the corpus, and only the averages leave the cluster.  Weights go to the tasks, and changes come back, in half precision (0.9 MB);
+    the driver adds the changes up in full.
     """
     # before it learns, the network gives the base score but for the unknown word of each bucket
     start = Network.of_counts(counts.masses(), 0.0)
@@ -197,17 +201,18 @@ def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "
     # a round reads its own files only
     numbered.write.partitionBy("round").parquet(path)
     numbered = documents.sparkSession.read.schema(schema).parquet(path)
-    weights = start.flat()
+    weights, shapes = start.flat(), start.shapes()
     for i in range(rounds):
-        # a replica is a range of its own, however many partitions there are
-        part = numbered.where(F.col("round") == i).drop("round").repartitionByRange(replicas, "replica")
+        part = numbered.where(F.col("round") == i).drop("round").repartitionById(replicas, "replica")
         part = part.sortWithinPartitions("replica", F.xxhash64("ids"), "ids").select("ids")
+        sent = start.with_flat(weights).packed()
         trained = part.mapInArrow(
-            lambda batches, weights=weights: _train(weights, start, batches), "chunk int, tokens bigint, weights binary"
+            lambda batches, sent=sent: _train(sent, shapes, batches), "chunk int, tokens bigint, change binary"
         )
-        mean = trained.groupBy("chunk").applyInArrow(_average, "chunk int, weights binary").collect()
+        mean = trained.groupBy("chunk").applyInArrow(_average, "chunk int, change binary").collect()
         if mean:
-            weights = np.concatenate([np.frombuffer(row["weights"], "<f4") for row in sorted(mean, key=lambda row: row["chunk"])])
+            change = [np.frombuffer(row["change"], "<f4") for row in sorted(mean, key=lambda row: row["chunk"])]
+            weights = weights + np.concatenate(change)
     discard(documents.sparkSession, path)
     return start.with_flat(weights)
 

@@ -189,7 +189,7 @@ def test_every_training_document_is_learned_from(spark, tmp_path, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     folder = str(tmp_path)
 
-    def note(weights, start, batches):
+    def note(weights, shapes, batches):
         # in the task: what would be trained on leaves as files
         for batch in batches:
             with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
