@@ -141,24 +141,25 @@ def maximal_segments(scores: list[float], starts: list[int], ends: list[int]) ->
     Item ``i`` covers the tokens ``starts[i]`` to ``ends[i]``.  A segment joins an earlier one where the sum from there on
     is higher at both ends; segments are disjoint and each scores more than any part of it.
     """
-    found: list[tuple[int, int, float, float]] = []
+    # with each segment the nearest earlier one that begins lower: those in between need not be looked at again
+    found: list[tuple[int, int, float, float, int]] = []
     total = 0.0
     for score, start, end in zip(scores, starts, ends, strict=True):
         before, total = total, total + score
         if score <= 0:
             continue
         left, right = before, total
+        at = len(found) - 1
         while True:
-            # the nearest earlier segment that begins lower
-            at = len(found) - 1
             while at >= 0 and found[at][2] >= left:
-                at -= 1
+                at = found[at][4]
             if at < 0 or found[at][3] >= right:
-                found.append((start, end, left, right))
+                found.append((start, end, left, right, at))
                 break
-            start, left = found[at][0], found[at][2]
+            start, left, lower = found[at][0], found[at][2], found[at][4]
             del found[at:]
-    return [(start, end, right - left) for start, end, left, right in found]
+            at = lower
+    return [(start, end, right - left) for start, end, left, right, _ in found]
 
 
 def _token_scores(texts: Texts, words: Words, model: Model) -> np.ndarray:
