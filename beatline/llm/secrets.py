@@ -46,12 +46,17 @@ def entropy(value: str) -> float:
 
 
 def other_tokens(text: str, known: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
-    """Long tokens of letters with digits in no base span, random enough to be a credential."""
-    out = []
+    """Long tokens of letters with digits in no base span, random enough to be a credential.
+
+    Tokens and spans are both in order, so one walk over the two finds what overlaps.
+    """
+    out, at, reach = [], 0, 0
     for m in TOKEN.finditer(text):
         start, end = m.span()
-        inside = any(start < b and a < end for _, a, b, _ in known)
-        if not inside and any(c.isalpha() for c in m[0]) and entropy(m[0]) >= LEAST_ENTROPY:
+        while at < len(known) and known[at][1] < end:
+            reach = max(reach, known[at][2])
+            at += 1
+        if reach <= start and any(c.isalpha() for c in m[0]) and entropy(m[0]) >= LEAST_ENTROPY:
             out.append(("owned", start, end, m[0]))
     return out
 
