@@ -2,6 +2,7 @@
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ _BLOCKS = frozenset(
     section select summary table tbody td tfoot th thead title tr ul
     """.split()
 )
+_NO_CONTAINER = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote".split())
 _OUTSIDE = frozenset("aside button dialog footer form head label menu nav search select textarea title".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ARTICLE = frozenset(("article", "main"))
@@ -48,14 +50,11 @@ _STATES = frozenset("has no not with without free open closed enabled disabled h
 # These name an article's own parts when they stand in one.
 _BESIDE_OUTSIDE = frozenset(("header",))
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)
-    |<(script|style|noscript|template|svg(?![^>]*/>)|iframe|object)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)
-    |<(/?)([a-z][a-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>
-    |<(/?)([a-z][a-z0-9:-]*)([^>]*)>
-    |<[!?/][^>]*>""",
-    re.S | re.I | re.X,
-)
+_TAG_NAME = re.compile(r"<(/?)([a-z][a-z0-9:-]*)", re.I)
+# Elements whose content is no text of the page.
+_SWALLOWED = frozenset("script style noscript template svg iframe object".split())
+_SWALLOWED_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _SWALLOWED}
+_QUOTE_OR_END = re.compile(r"""[>"']""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _PART = re.compile(r"[a-z]+")
@@ -114,6 +113,63 @@ def _sides(elements: list[_Element]) -> list[bool]:
     return out
 
 
+def _tag_end(page: str, at: int, failed: set[int]) -> int:
+    """Where the tag ends whose attributes begin at ``at``: the first ``>`` outside quotes; -1 if a quote is left open.
+
+    ``failed`` are places outside quotes from which no end was found, so that none is tried twice.
+    """
+    tried = []
+    while at not in failed:
+        tried.append(at)
+        found = _QUOTE_OR_END.search(page, at)
+        if found and found[0] == ">":
+            return found.start()
+        close = page.find(found[0], found.end()) if found else -1
+        if close < 0:
+            break
+        at = close + 1
+    failed.update(tried)
+    return -1
+
+
+def _markup(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, tag, slash, attributes) of tags; comments, declarations and swallowed elements have no tag name.
+
+    A ``<`` that begins none of these, or that no ``>`` follows, is text.  The page is walked once.
+    """
+    at, last = 0, page.rfind(">")
+    failed: set[int] = set()
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 4)
+            at = len(page) if close < 0 else close + 3
+            yield start, at, "", "", ""
+        elif start > last:  # only a comment needs no ">"
+            at = page.find("<!--", start)
+            if at < 0:
+                return
+        elif not (name := _TAG_NAME.match(page, start)):
+            at = start + 1
+            if page[start + 1] in "!?/":
+                close = page.find(">", start + 2)
+                if close >= 0:
+                    at = close + 1
+                    yield start, at, "", "", ""
+        else:
+            slash, tag = name[1], name[2].lower()
+            close = page.find(">", name.end())
+            swallows = tag in _SWALLOWED and not slash and (page[name.end()] in "/>" or page[name.end()].isspace())
+            if swallows and not (tag == "svg" and page[close - 1] == "/"):
+                found = _SWALLOWED_END[tag].search(page, close + 1)
+                at = found.end() if found else len(page)
+                yield start, at, "", "", ""
+                continue
+            outside = _tag_end(page, name.end(), failed)
+            close = outside if outside >= 0 else close
+            at = close + 1
+            yield start, at, tag, slash, page[name.end() : close]
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text between block elements, without markup, scripts and styles, in page order.
 
@@ -122,8 +178,10 @@ def blocks_of(page: str) -> list[Block]:
     """
     out: list[Block] = []
     elements: list[_Element] = []
-    # of each open element: tag, whether it or one around it is an article, and its number
-    stack: list[tuple[str, bool, int]] = []
+    # of each open element: tag, whether it or one around it is an article, its number, and that of its container
+    stack: list[tuple[str, bool, int, int]] = []
+    open_tags: Counter[str] = Counter()
+    open_blocks: list[int] = []  # their depths
     text: list[str] = []
     links = link_depth = breaks = 0
     at = 0
@@ -132,7 +190,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal links, breaks
         string = " ".join(html.unescape("".join(text)).split())
         if string:
-            inside, container, element = (stack[-1][1], _container(stack), stack[-1][2]) if stack else (False, 0, -1)
+            inside, element, container = stack[-1][1:] if stack else (False, -1, 0)
             out.append(Block(string, links, False, inside, container, element))
         text.clear()
         links = breaks = 0
@@ -146,13 +204,18 @@ def blocks_of(page: str) -> list[Block]:
                 if link_depth:
                     links += len(string.strip())
 
-    for found in _TOKEN.finditer(page):
-        add(page[at : found.start()])
-        at = found.end()
-        tag = (found[3] or found[6] or "").lower()
+    def close_from(depth: int) -> None:
+        for tag, *_ in stack[depth:]:
+            open_tags[tag] -= 1
+        del stack[depth:]
+        while open_blocks and open_blocks[-1] >= depth:
+            open_blocks.pop()
+
+    for start, end, tag, closing, attributes in _markup(page):
+        add(page[at:start])
+        at = end
         if not tag:
             continue
-        closing, attributes = found[2] or found[5], found[4] or found[7] or ""
         if tag == "br":
             breaks += 1
             end_block() if breaks == 2 else text.append(" ")
@@ -162,27 +225,31 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "a":
             link_depth = 0 if closing else 1
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            if open_tags[tag]:
+                depth = len(stack) - 1
+                while stack[depth][0] != tag:
+                    depth -= 1
+                close_from(depth)
         elif tag not in _VOID and not attributes.endswith("/"):
             if tag in _BLOCKS:
                 # a paragraph holds no block; a list item ends where the next one begins
-                for depth in range(len(stack) - 1, -1, -1):
-                    open_tag = stack[depth][0]
-                    if open_tag == "p" or open_tag == tag == "li":
-                        del stack[depth:]
-                        break
-                    if open_tag in _BLOCKS:
-                        break
-            inside, around = stack[-1][1:] if stack else (False, -1)
+                nearest = stack[open_blocks[-1]][0] if open_blocks else ""
+                if nearest == "p" or nearest == tag == "li":
+                    close_from(open_blocks[-1])
+            inside, around, container = stack[-1][1:] if stack else (False, -1, 0)
             marks = tag in _ARTICLE
             if marks and (not inside or tag == "main"):
-                for _, _, number in stack:
-                    elements[number].holds = max(elements[number].holds, tag)
+                for _, _, number, _ in reversed(stack):
+                    if elements[number].holds >= tag:
+                        break  # so do those around it
+                    elements[number].holds = tag
             elements.append(_Element(around, _beside(tag, attributes, inside or marks), tag if marks else ""))
-            stack.append((tag, inside or marks, len(elements) - 1))
+            number = len(elements) - 1
+            if tag in _BLOCKS:
+                open_blocks.append(len(stack))
+                container = container if tag in _NO_CONTAINER else number + 1
+            open_tags[tag] += 1
+            stack.append((tag, inside or marks, number, container))
     add(page[at:])
     end_block()
     sides = _sides(elements)
@@ -191,14 +258,6 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def _container(stack: list[tuple[str, bool, int]]) -> int:
-    """The number of the innermost element that is more than a paragraph, heading or inline mark."""
-    for tag, _, number in reversed(stack):
-        if tag in _BLOCKS and tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote"):
-            return number + 1
-    return 0
-
-
 def first_pass(block: Block, has_article: bool) -> str:
     """``good``, ``bad``, or ``short`` for what the block itself does not decide.
 
