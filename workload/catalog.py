@@ -299,6 +299,22 @@ def area_counts_on_boundaries(spark, sf_dir):
     return _map_tables(spark, sf_dir)["boundaries"].select(*named, "crime_count")
 
 
+@_query
+def area_counts_on_numbered_boundaries(spark, sf_dir):
+    """Boundaries whose area keys are JSON numbers, whole ones with and without a fraction of 0, and texts."""
+    area = F.col("user_id") % 77 + 1
+    written = F.when(area % 3 == 0, F.concat(area, F.lit(".0"))).when(area % 3 == 1, area.cast("string"))
+    written = F.coalesce(written, F.concat(F.lit('"'), area, F.lit('.0"')))
+    known = derive.events(spark, sf_dir).select(written.alias("key"), area.alias("area")).distinct()
+    feature = F.concat(F.lit('{"properties":{"area_numbe":'), "key", F.lit(',"area":"'), "area", F.lit('"}}'))
+    features = F.array_join(F.collect_list(feature), ",")
+    path = staging_path(spark, "boundaries")
+    known.agg(F.concat(F.lit('{"features":['), features, F.lit("]}")).alias("value")).write.text(path)
+    counts = areas.area_counts(_processed(spark, sf_dir))
+    found = areas.counts_on_boundaries(boundaries.read_boundaries(spark, path), counts, "area_numbe")
+    return found.select(F.col("properties").getItem("area").cast("bigint").alias("area"), "crime_count")
+
+
 @_query
 def choropleth_bins(spark, sf_dir):
     edges = areas.class_edges(areas.area_counts(_processed(spark, sf_dir)))
@@ -406,6 +422,18 @@ def message_quality(spark, sf_dir):
     return quality.message_quality(sent)
 
 
+@_query
+def all_null_messages(spark, sf_dir):
+    """The messages that have no field of the API layout, all of them."""
+    return quality.all_null_messages(derive.messages(spark, sf_dir))
+
+
+@_query
+def non_empty_rows(spark, sf_dir):
+    rows = quality.non_empty_rows(ingest.parse_messages(derive.messages(spark, sf_dir)))
+    return rows.select("ID", "Case Number", "Date", "Arrest", "Location")
+
+
 @_query
 def raw_null_profile(spark, sf_dir):
     return quality.null_profile(ingest.parse_messages(derive.messages(spark, sf_dir)))
@@ -452,6 +480,19 @@ def incremental_load(spark, sf_dir):
     return changed.select("ID", "Case Number", "Updated On")
 
 
+@_query
+def incremental_load_typed(spark, sf_dir):
+    """The same on a stored table whose change time is a timestamp."""
+    moment = times.change_time(F.col("Updated On"))
+    source = staged(_source(spark, sf_dir).withColumn("Updated On", moment), "typed")
+    first = source.where(F.unix_seconds("Updated On") <= source.agg(
+        F.floor((F.min(F.unix_seconds("Updated On")) + F.max(F.unix_seconds("Updated On"))) / 2)
+    ).scalar())
+    cursor = changes.fixed(changes.next_cursor(first, changes.start_cursor(spark)))
+    changed = changes.incremental_load(source, cursor)
+    return changed.select("ID", "Case Number", _plain_time("Updated On"))
+
+
 @_query
 def incremental_lookback(spark, sf_dir):
     source = _source(spark, sf_dir)
@@ -533,6 +574,40 @@ def csv_bootstrap(spark, sf_dir):
     return cursor.select(sent.scalar().alias("rows_sent"), "last_updated_on", "last_id")
 
 
+@_query
+def csv_bootstrap_multiline(spark, sf_dir):
+    """An export whose descriptions hold line breaks and quotes: each record is one message."""
+    folder = staging_path(spark, "csv")
+    text = F.concat(F.lit('said "'), F.col("Description"), F.lit('",\nthen left'))
+    rows = _raw(spark, sf_dir).withColumn("Description", text)
+    rows.write.option("header", True).option("escape", '"').csv(f"{folder}/export")
+    sink = {"sink_format": "parquet", "path": f"{folder}/published"}
+    extract.run_csv_bootstrap(spark, f"{folder}/export", f"{folder}/cursor", multi_line=True, **sink)
+    value = F.col("value")
+    return spark.read.parquet(f"{folder}/published").select(
+        "key",
+        F.get_json_object(value, "$['Case Number']").alias("case_number"),
+        F.get_json_object(value, "$.Description").alias("description"),
+    )
+
+
+@_query
+def csv_bootstrap_two_layouts(spark, sf_dir):
+    """Exports of two layouts, read one by one: together their records, and a cursor over both."""
+    folder = staging_path(spark, "csv")
+    raw = derive.raw_incidents(spark, sf_dir)
+    odd = F.col("event_id") % 2 == 1
+    raw.where(~odd).drop("event_id").write.option("header", True).option("escape", '"').csv(f"{folder}/a")
+    raw.where(odd).select("Updated On", "ID", "Date").write.option("header", True).option("escape", '"').csv(f"{folder}/b")
+    sink = {"sink_format": "parquet", "path": f"{folder}/published"}
+    cursors = [
+        extract.run_csv_bootstrap(spark, f"{folder}/{name}", f"{folder}/cursor-{name}", **sink) for name in ("a", "b")
+    ]
+    last = reduce(DataFrame.union, cursors).agg(F.max(F.struct("last_updated_on", "last_id")).alias("c"))
+    sent = spark.read.parquet(f"{folder}/published").agg(F.count("*").alias("n"))
+    return last.select(sent.scalar().alias("rows_sent"), "c.last_updated_on", "c.last_id")
+
+
 @_query
 def csv_bootstrap_no_id(spark, sf_dir):
     """An export without IDs whose change time has its API name."""
@@ -608,6 +683,19 @@ def ml_feature_frame(spark, sf_dir):
     return _frame(spark, sf_dir).withColumn("crime_datetime", _plain_time("crime_datetime"))
 
 
+@_query
+def ml_feature_frame_weekends(spark, sf_dir):
+    """The frame with Saturdays and Sundays as weekend."""
+    frame = learning.feature_frame(_processed(spark, sf_dir), learning.CRIME_TYPE, weekend_days=(1, 7))
+    return frame.select("ID", "crime_day_of_week", "is_weekend")
+
+
+@_query
+def ml_domestic_frame(spark, sf_dir):
+    frame = learning.feature_frame(_processed(spark, sf_dir), learning.DOMESTIC)
+    return frame.withColumn("crime_datetime", _plain_time("crime_datetime"))
+
+
 @_query
 def ml_sample(spark, sf_dir):
     return learning.sample(_frame(spark, sf_dir)).select("ID")

@@ -2,8 +2,7 @@
 
 import re
 
-from beatline.functions import offences
-from beatline.operators import learning
+from workload import rules
 from workload.derive import CRIME_CLASSES, LOCATIONS, PRIMARY_TYPES
 
 
@@ -17,20 +16,26 @@ def _list(values) -> str:
 
 def _place_case() -> str:
     branches = "\n".join(
-        f"      WHEN regexp_matches(upper(\"Location Description\"), {_text('|'.join(words))}) THEN {_text(category)}"
-        for category, words in offences.PLACE_WORDS.items()
+        f"      WHEN regexp_matches(upper(\"Location Description\"), {_text('|'.join(rules.words(words)))}) THEN {_text(category)}"
+        for category, words in rules.PLACE_WORDS.items()
     )
     return f"CASE\n{branches}\n      ELSE 'Other' END"
 
 
 def _crime_case() -> str:
     branches = "\n".join(
-        f'      WHEN upper("Primary Type") IN ({_list(types)}) THEN {_text(category)}'
-        for category, types in offences.CRIME_TYPES.items()
+        f'      WHEN upper("Primary Type") IN ({_list(rules.words(types))}) THEN {_text(category)}'
+        for category, types in rules.CRIME_TYPES.items()
     )
     return f"CASE\n{branches}\n      ELSE 'Other Crime' END"
 
 
+_MEDIUM = [
+    word
+    for text in (rules.CRIME_TYPES["Violent Crime"], rules.CRIME_TYPES["Drug/Weapon Crime"], rules.MEDIUM_SEVERITY)
+    for word in rules.words(text)
+]
+
 # The raw table of workload.derive.
 RAW = f"""
 moved AS (SELECT *, ts + to_months(CAST(event_id % 30 AS INTEGER)) AS t FROM events),
@@ -129,8 +134,8 @@ featured AS (
          WHEN crime_month IN (6, 7, 8) THEN 'SUMMER' ELSE 'FALL' END AS season,
     {_place_case()} AS location_category,
     {_crime_case()} AS crime_category,
-    CASE WHEN upper("Primary Type") IN ({_list(offences.HIGH_SEVERITY)}) THEN 3
-         WHEN upper("Primary Type") IN ({_list(offences.MEDIUM_SEVERITY)}) THEN 2 ELSE 1 END AS severity,
+    CASE WHEN upper("Primary Type") IN ({_list(rules.words(rules.HIGH_SEVERITY))}) THEN 3
+         WHEN upper("Primary Type") IN ({_list(_MEDIUM)}) THEN 2 ELSE 1 END AS severity,
     crime_hour >= 22 OR crime_hour < 4 AS is_night,
     "Arrest" AS was_arrest_made,
     "Domestic" AS is_domestic_incident
@@ -140,10 +145,10 @@ scored AS (
   SELECT *,
     'Level ' || severity AS crime_severity_level,
     CAST(CASE severity WHEN 3 THEN 10 WHEN 2 THEN 3 ELSE 1 END AS DOUBLE) AS crime_severity_weight,
-    CAST(CASE WHEN location_category IN ({_list(offences.PUBLIC_PLACES)}) THEN 3
+    CAST(CASE WHEN location_category IN ({_list(rules.PUBLIC_PLACES)}) THEN 3
               WHEN location_category = 'Other' THEN 1 ELSE 2 END AS DOUBLE) AS location_risk_weight,
     crime_category = 'Violent Crime' AS is_violent,
-    location_category IN ({_list(offences.PUBLIC_PLACES)}) AS is_public_space
+    location_category IN ({_list(rules.PUBLIC_PLACES)}) AS is_public_space
   FROM featured
 ),
 processed AS (
@@ -206,7 +211,7 @@ SAMPLE = (
 sampled AS (SELECT * FROM frame WHERE {_fraction(0)} < 0.7),
 top20 AS (
   SELECT "Location Description", count(*) AS n FROM sampled GROUP BY 1
-  ORDER BY n DESC, "Location Description" ASC NULLS LAST LIMIT {learning.TOP_LOCATIONS}
+  ORDER BY n DESC, "Location Description" ASC NULLS LAST LIMIT {rules.TOP_LOCATIONS}
 ),
 collapsed AS (
   SELECT s.*, coalesce(k."Location Description", 'OTHER') AS "loc_desc_topN"
@@ -499,6 +504,11 @@ boundaries AS (
                  coalesce(crime_count, 0) AS crime_count
                FROM boundaries LEFT JOIN areas ON TRY_CAST(area_numbe AS INTEGER) = community_area""",
         ),
+        "area_counts_on_numbered_boundaries": _with(
+            AREAS + ", known AS (SELECT DISTINCT user_id % 77 + 1 AS area FROM events)",
+            """SELECT CAST(area AS BIGINT) AS area, CASE WHEN area % 3 = 2 THEN 0 ELSE coalesce(crime_count, 0) END AS crime_count
+               FROM known LEFT JOIN areas ON area = community_area""",
+        ),
         "choropleth_bins": _with(
             AREAS, "SELECT CAST(generate_subscripts(edges, 1) - 1 AS INTEGER) AS position, unnest(edges) AS edge FROM classes"
         ),
@@ -556,6 +566,22 @@ cells AS (
                  "Updated On" := "Updated On", "Latitude" := "Latitude", "Longitude" := "Longitude",
                  "Location" := "Location")) AS VARCHAR) AS value FROM raw""",
         ),
+        "all_null_messages": _with(
+            RAW,
+            """SELECT CASE WHEN event_id % 89 = 1 THEN 'not json' WHEN event_id % 83 = 2 THEN '' ELSE
+                 CAST(to_json(struct_pack("ID" := "ID", "Case Number" := "Case Number", "Date" := "Date",
+                 "Block" := "Block", "IUCR" := "IUCR", "Primary Type" := "Primary Type",
+                 "Description" := "Description", "Location Description" := "Location Description",
+                 "Arrest" := "Arrest", "Domestic" := "Domestic", "Beat" := "Beat", "District" := "District",
+                 "Ward" := "Ward", "Community Area" := "Community Area", "FBI Code" := "FBI Code",
+                 "X Coordinate" := "X Coordinate", "Y Coordinate" := "Y Coordinate", "Year" := "Year",
+                 "Updated On" := "Updated On", "Latitude" := "Latitude", "Longitude" := "Longitude",
+                 "Location" := "Location")) AS VARCHAR) END AS json_str
+               FROM raw WHERE event_id % 89 = 1 OR event_id % 83 = 2 OR event_id % 2 = 1""",
+        ),
+        "non_empty_rows": _with(
+            INGESTED, 'SELECT "ID", "Case Number", "Date", "Arrest", "Location" FROM ingested WHERE "Case Number" IS NOT NULL'
+        ),
         "message_quality": """SELECT count(*) AS total_messages,
             count(*) FILTER (event_id % 89 = 1 OR event_id % 83 = 2 OR event_id % 2 = 1) AS all_null_messages,
             count(*) FILTER (event_id % 89 <> 1 AND event_id % 83 = 2) AS parse_failed,
@@ -566,6 +592,10 @@ cells AS (
         # changes
         "full_load": _with(CHANGES, 'SELECT "ID", "Case Number", "Updated On" FROM keyed WHERE u IS NOT NULL'),
         "incremental_load": _with(CHANGES, _AFTER_CURSOR),
+        "incremental_load_typed": _with(
+            CHANGES,
+            """SELECT "ID", "Case Number", u AS "Updated On" FROM keyed, cur WHERE u > cu OR (u = cu AND n > cn)""",
+        ),
         "incremental_lookback": _with(
             CHANGES,
             """SELECT "ID", "Case Number", "Updated On" FROM keyed, cur
@@ -608,6 +638,18 @@ ranked AS (
                    ELSE strftime(max(t), '%Y-%m-%dT%H:%M:%S.%f') END AS last_updated_on,
               CAST(max_by(event_id, (t, event_id)) AS VARCHAR) AS last_id
             FROM (SELECT event_id, ts + to_milliseconds(event_id % 1000) AS t FROM events)""",
+        "csv_bootstrap_multiline": _with(
+            RAW,
+            """SELECT "ID" AS key, "Case Number" AS case_number,
+                 'said "' || "Description" || '",' || chr(10) || 'then left' AS description FROM raw""",
+        ),
+        "csv_bootstrap_two_layouts": _with(
+            RAW,
+            """SELECT (SELECT count(*) FROM raw) AS rows_sent,
+                 strftime(try_strptime("Updated On", '%Y-%m-%dT%H:%M:%S.%g'), '%Y-%m-%dT%H:%M:%S') AS last_updated_on,
+                 "ID" AS last_id
+               FROM raw ORDER BY try_strptime("Updated On", '%Y-%m-%dT%H:%M:%S.%g') DESC, "ID" DESC LIMIT 1""",
+        ),
         "csv_bootstrap_no_id": _with(
             RAW,
             """SELECT (SELECT count(*) FROM raw) AS rows_sent,
@@ -634,6 +676,16 @@ ranked AS (
         ),
         # model input
         "ml_feature_frame": _with(FRAME, "SELECT * FROM frame"),
+        "ml_feature_frame_weekends": _with(
+            FRAME,
+            """SELECT "ID", crime_day_of_week,
+                 CASE WHEN crime_day_of_week IN (1, 7) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_weekend FROM frame""",
+        ),
+        "ml_domestic_frame": _with(
+            FRAME.replace("coalesce(CAST(is_domestic_incident AS DOUBLE), 0.0) AS is_domestic", "is_domestic_incident AS is_domestic")
+            .replace('WHERE "District" IS NOT NULL', 'WHERE "District" IS NOT NULL AND is_domestic_incident IS NOT NULL'),
+            "SELECT * FROM frame",
+        ),
         "ml_sample": _with(SAMPLE, 'SELECT "ID" FROM sampled'),
         "ml_split": _with(SAMPLE, f'SELECT "ID", {_fraction(1)} < 0.8 AS is_train FROM sampled'),
         "ml_test_rows": _with(SAMPLE, f'SELECT "ID", crime_category FROM sampled WHERE NOT {_fraction(1)} < 0.8'),
