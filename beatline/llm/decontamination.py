@@ -5,10 +5,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from beatline.llm.columns import on_plain_names
 from beatline.llm.words import Texts, Words, runs_at, runs_of, slices, text_words
+from beatline.session import Staging
 
 WINDOW = 10
 # Search patterns that one pass over the documents holds; further ones take further passes.
@@ -150,7 +151,7 @@ def _search(patterns: list[Patterns], text: str, batches: Iterator[pa.RecordBatc
             made = {
                 "n_words": pa.array(words.counts(), type=pa.int64()),
                 "hit_spans": pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], type=pa.list_(_SPAN)),
-                "hit_items": pa.array(items, type=pa.list_(pa.int64())),
+                "hit_items": pa.array(items, type=rows.schema.field("hit_items").type),
             }
             names = rows.schema.names
             yield pa.RecordBatch.from_arrays([made.get(n, rows.column(i)) for i, n in enumerate(names)], names)
@@ -165,24 +166,30 @@ def find_passages(
     are the word ranges (end exclusive, merged) inside any occurrence of ``window`` consecutive words of an item, or of
     a whole shorter item; ``hit_items`` are the IDs of the items with such occurrences, in order, each once.
 
-    Items (``item_id``, ``text``) come to the driver and go to the tasks about ``pass_windows`` windows at a time; each block
-    of windows is one pass over the documents, in the same stage and without a shuffle, so neither side has to be small.
+    Items (``item_id`` of any type that sorts, ``text``) come to the driver row by row and go to the tasks about ``pass_windows``
+    windows at a time.  A block of windows is one pass over the documents, without a shuffle; between two blocks the
+    documents are written to the shared folder, so that driver and tasks hold one block whatever the number of items.
     A NULL text, on either side, has no words; items without words and rows without ``item_id`` are in no document; repeated
     rows are searched each.  Columns of the three names are replaced; other columns stay as they are.
     """
     known = items.select("item_id", "text").where("item_id IS NOT NULL").toLocalIterator()
+    ids = T.ArrayType(items.schema["item_id"].dataType)
     out = documents.drop("n_words", "hit_spans", "hit_items").select(
         "*",
         F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("hit_spans"),
-        F.lit(None).cast("array<bigint>").alias("hit_items"),
+        F.lit(None).cast(ids).alias("hit_items"),
     )
     out = out.withColumn("hit_spans", F.coalesce("hit_spans", F.array().cast("array<struct<start:bigint,end:bigint>>")))
-    out = out.withColumn("hit_items", F.coalesce("hit_items", F.array().cast("array<bigint>")))
+    out = out.withColumn("hit_items", F.coalesce("hit_items", F.array().cast(ids)))
     schema = out.schema
-    for patterns in pattern_blocks(((row["item_id"], row["text"]) for row in known), window, pass_windows):
-        out = out.mapInArrow(lambda batches, patterns=patterns: _search(patterns, text, batches), schema)
-    return out
+    staging = Staging(documents.sparkSession)
+    blocks = pattern_blocks(((row["item_id"], row["text"]) for row in known), window, pass_windows)
+    patterns = next(blocks)
+    for following in blocks:
+        found = out.mapInArrow(lambda batches, patterns=patterns: _search(patterns, text, batches), schema)
+        out, patterns = staging.write(found, "searched"), following
+    return out.mapInArrow(lambda batches: _search(patterns, text, batches), schema)
 
 
 def hit_words(spans: str = "hit_spans"):

@@ -286,3 +286,11 @@ def test_decontamination_of_odd_rows(spark, odd, nothing):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 1
     assert decontamination.without_passages(odd, items.limit(0)).count() == odd.count()
     assert decontamination.without_passages(nothing, items).count() == 0
+
+
+def test_items_may_have_text_ids(spark):
+    documents = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, None), (3, "x y z")], "doc_id long, text string")
+    items = spark.createDataFrame([("q9", "b c d e f g h i j k"), ("q10", "X y"), ("q11", None), (None, "x y z")], "item_id string, text string")
+    for pass_windows in (1, 200_000):
+        found = decontamination.find_passages(documents, items, pass_windows=pass_windows)
+        assert {r["doc_id"]: r["hit_items"] for r in found.collect()} == {1: ["q9"], 2: [], 3: ["q10"]}
