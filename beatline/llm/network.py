@@ -96,7 +96,10 @@ class Network:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    out = np.tanh(x * x.dtype.type(0.5))
+    out *= x.dtype.type(0.5)
+    out += x.dtype.type(0.5)
+    return out
 
 
 def _exponentials(states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +133,7 @@ def _by_class(targets: np.ndarray, classes_of: int, class_words: int):
 
 def _step(net: Network, h: np.ndarray, ids: np.ndarray):
     n = h.shape[1]
-    g, hu = net.x[ids], h @ net.u
+    g, hu = net.x.take(ids, axis=0), h @ net.u
     gates = _sigmoid(g[:, : 2 * n] + hu[:, : 2 * n])
     z, r = gates[:, :n], gates[:, n:]
     new = np.tanh(g[:, 2 * n :] + r * hu[:, 2 * n :])
@@ -173,7 +176,7 @@ def log_likelihoods(net: Network, ids: np.ndarray, bounds: np.ndarray) -> np.nda
 
 def _log_probabilities(net: Network, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     order, pieces = _by_class(targets, net.classes, net.class_words)
-    states, targets = states[order], targets[order]
+    states, targets = states.take(order, axis=0), targets.take(order)
     classes = np.minimum(targets // net.class_words, net.classes)
     share, total = np.ones(len(targets)), np.ones(len(targets))
     for a in range(0, len(targets), _BLOCK):
@@ -274,7 +277,7 @@ class Trainer:
         targets = np.concatenate([x[4] for x in trace])
         scale = states.dtype.type(1 / len(targets))
         order, pieces = _by_class(targets, net.classes, net.class_words)
-        by_class, targets_by = states[order], targets[order]
+        by_class, targets_by = states.take(order, axis=0), targets.take(order)
         classes_by = np.minimum(targets_by // net.class_words, net.classes)
         d_by_class = np.empty_like(by_class)
         d_c, d_c_bias = np.zeros_like(net.c), np.zeros_like(net.c_bias)
@@ -326,7 +329,7 @@ class Trainer:
         order = np.argsort(rows, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        into[rows[first]] = np.add.reduceat(values[order], first, axis=0)
+        into[rows[first]] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
         return rows[first]
 
     def _update(self, grads: list[np.ndarray]) -> None:

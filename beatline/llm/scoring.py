@@ -219,27 +219,39 @@ def learn(documents: DataFrame, counts: Counts, text: str = "text", key: str = "
 
 def _score(text: str, names: list[str], counts: Counts, net: Network, batches) -> Iterator[pa.RecordBatch]:
     bucket_logs = np.log10(counts.buckets)
+    count_logs = np.log10(counts.counts + 1.0)
     for batch in batches:
-        ids, bounds = _numbered(batch, text, counts)
-        likelihood = network.log_likelihoods(net, ids, bounds) / np.log(10)
-        first = 0
+        # each text is read once: words are numbered for the network, and placed among the counted ones for the base
+        parts, ids, bounds, n_ids = [], [], [np.zeros(1, dtype=np.int64)], 0
         for rows, hashes, begins in _tokens(batch, text):
-            n = rows.num_rows
             place, found = counts.find(hashes)
-            logs = np.where(found, np.log10(counts.counts[place] + 1.0), 0.0) if len(counts.heads) else np.zeros(len(hashes))
-            number = ids[bounds[first] : bounds[first + n]]
+            number = counts.own + counts.bucket(hashes)
+            if len(counts.heads):
+                number = np.where(found & (counts.words[place] >= 0), counts.words[place], number)
+            rare = np.flatnonzero(~found)
+            parts.append((rows, begins, np.where(found, place, -1).astype(np.int32), rare, hashes[rare]))
+            ids.append(number.astype(np.int32))
+            bounds.append(begins[1:] + n_ids)
+            n_ids += len(hashes)
+        if not parts:
+            continue
+        starts = np.concatenate(bounds)
+        likelihood = network.log_likelihoods(net, np.concatenate(ids), starts) / np.log(10)
+        first = 0
+        for (rows, begins, place, rare, rare_hashes), number in zip(parts, ids, strict=True):
+            n = rows.num_rows
+            logs = np.where(place >= 0, count_logs[place], 0.0) if len(counts.heads) else np.zeros(len(place))
             owner = np.repeat(np.arange(n), np.diff(begins))
             shared = np.flatnonzero(number >= counts.own)
             within = logs[shared] - bucket_logs[number[shared] - counts.own]
             in_buckets = np.bincount(owner[shared], weights=within, minlength=n)
-            rare = np.flatnonzero(~found)
             offsets = np.searchsorted(rare, begins).astype(np.int32)
             made = {
                 "n_tokens": pa.array(np.diff(begins), pa.int64()),
-                "n_known": pa.array(np.bincount(owner[found], minlength=n), pa.int64()),
+                "n_known": pa.array(np.bincount(owner[place >= 0], minlength=n), pa.int64()),
                 "base_score": pa.array(np.bincount(owner, weights=logs, minlength=n)),
                 "score": pa.array(likelihood[first : first + n] + in_buckets),
-                "rare": pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[rare].view(np.int64))),
+                "rare": pa.ListArray.from_arrays(pa.array(offsets), pa.array(rare_hashes.view(np.int64))),
             }
             yield pa.RecordBatch.from_arrays([made[x] if x in made else rows.column(x) for x in names], names)
             first += n
