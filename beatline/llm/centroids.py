@@ -132,10 +132,14 @@ def cluster(
     """
     spark = vectors.sparkSession
     staging = Staging(spark)
-    own = [c for c in vectors.columns if c.lower() not in ("cluster", "distance")]
-    start = whole_vectors(vectors.withColumn("__order", order), vector, dimensions, scale)
+    columns = [c for c in vectors.columns if c.lower() not in ("cluster", "distance")]
+    # under names that clash with nothing until the end
+    own = {f"c{i}": c for i, c in enumerate(columns)}
+    plain = [F.col(f"`{c}`").alias(name) for name, c in own.items()]
+    start = vectors.select(*plain, F.col(vector).alias("__vector"), order.alias("__order"))
+    start = whole_vectors(start, "__vector", dimensions, scale).drop("__vector")
     first = start.select("__order", "__v").orderBy("__order", "__v").limit(k).collect()
-    named = start.select(*(F.col(f"`{c}`") for c in own), "__v", F.lit(-1).alias("__cluster"))
+    named = start.select(*own, "__v", F.lit(-1).alias("__cluster"))
     out = named.withColumn("__was", F.lit(-1)).withColumn("__key", F.lit(0.0))
     names, schema = out.columns, out.schema
     if not first:
@@ -187,7 +191,7 @@ def cluster(
     return Clustering(result, centroids.tolist(), inertia, rescanned)
 
 
-def _assigned(rows: DataFrame, own: list[str], centroids: list[list[int]]) -> DataFrame:
+def _assigned(rows: DataFrame, own: dict[str, str], centroids: list[list[int]]) -> DataFrame:
     """The given columns with cluster and squared distance."""
     known = F.array(*(F.array(*(F.lit(x).cast("long") for x in centroid)) for centroid in centroids))
     if not centroids:
@@ -195,5 +199,5 @@ def _assigned(rows: DataFrame, own: list[str], centroids: list[list[int]]) -> Da
     squares = F.zip_with("__v", known[F.col("__cluster")], lambda a, b: (a - b) * (a - b))
     distance = F.aggregate(squares, F.lit(0).cast("long"), lambda total, x: total + x)
     return rows.select(
-        *(F.col(f"`{c}`") for c in own), F.col("__cluster").alias("cluster"), distance.alias("distance")
+        *(F.col(name).alias(c) for name, c in own.items()), F.col("__cluster").alias("cluster"), distance.alias("distance")
     )

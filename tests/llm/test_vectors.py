@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from beatline.llm import centroids, vantage
 from beatline.llm.registry import queries
 
-VECTORS = "vec_id long, embedding array<float>, label int, Cluster string, DISTANCE int, rank string"
+VECTORS = "vec_id long, embedding array<float>, label int, Cluster string, DISTANCE int, __v string"
 
 
 def clumps(n, dimensions=64, seed=5):
@@ -170,7 +170,8 @@ def test_clusters_of_odd_rows(spark):
     huge = spark.createDataFrame([(2000, [3e38] * 64, 0, "c", 1, "r"), (2001, [-3e38] * 64, 0, "c", 1, "r")], VECTORS)
     found = centroids.cluster(frame.union(huge), 4, 3, F.col("vec_id"))
     rows = found.vectors.collect()
-    assert found.vectors.columns == ["vec_id", "embedding", "label", "rank", "cluster", "distance"]
+    assert found.vectors.columns == ["vec_id", "embedding", "label", "__v", "cluster", "distance"]
+    assert {r["__v"] for r in rows} == {"r", None}
     # 300, the zero vector, the two repeated rows, the one without ID, the two huge ones
     assert len(rows) == 306 and all(r["distance"] >= 0 for r in rows)
     nothing = centroids.cluster(frame.where("vec_id < 0"), 4, 3, F.col("vec_id"))
