@@ -228,7 +228,7 @@ def nearest(
     asked = kept.where("asking").select(
         *columns, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("asks")
     )
-    streams = held.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "dimensions", "asks", "query")
+    streams = held.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions("shard", "dimensions", "asks", "query")
     found = streams.mapInArrow(lambda batches: _answers(k, factor, batches), _FOUND)
     best = Window.partitionBy("query").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
