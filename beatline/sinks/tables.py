@@ -57,7 +57,9 @@ def upsert_processed(changed: DataFrame, path: str) -> None:
     """Put processed rows into the processed table: each replaces the row with its ID, whatever year that was in.
 
     Only the folders of years that gain or lose a row are written again; a table of all years is read for the IDs alone.
-    The new years are written aside first, as they are read from the folders that they replace.
+    The new years are written aside first, as they are read from the folders that they replace.  A run that failed before that can
+    be repeated, also one that left a row in its old year.  Folders are swapped one after the other at the end: a crash in just that
+    moment calls for a rebuild by ``run_etl``.
     """
     spark = changed.sparkSession
     staging = Staging(spark)
@@ -74,8 +76,7 @@ def upsert_processed(changed: DataFrame, path: str) -> None:
     left = stored.select("ID", "Year").join(ids, "ID", "left_semi").select("Year")
     years = [row["Year"] for row in left.union(changed.select("Year")).distinct().collect()]
     touched = stored.where(F.col("Year").isin(years))
-    columns = [c for c in changed.columns]
-    kept = touched.join(ids, "ID", "left_anti").select(*columns)
+    kept = touched.join(ids, "ID", "left_anti").select(*changed.columns)
     fresh = staging.write(kept.unionByName(changed), "fresh")
     write_processed(fresh, path, only_years=True)
     # a year whose last row has moved away has nothing to be overwritten by
