@@ -21,6 +21,9 @@ BLOCK_SETS, BLOCK_SHINGLES = 1024, 2_000_000
 # Buckets of up to four blocks are compared in full, larger ones are split on a further token while there is a level left.
 # A group of near copies does not split, so splitting it early only makes more buckets of it.
 SMALL = 4 * BLOCK_SETS
+# What a comparison holds at once besides the matrix of what each two sets share: members, cells of the incidence matrix
+# and rows of the matrix, so that a task's memory depends on the bucket's own sets only.
+MEMBERS_AT_ONCE, CELLS_AT_ONCE, ROWS_AT_ONCE = 1 << 18, 1 << 20, 256
 # A set's smallest hashes, for a first comparison. Sets that are similar share at least 0.8 of the smallest hashes of
 # both on average; asking for less than half of that loses one pair in ten million.
 SKETCH, SKETCH_SHARE = 32, 0.375
@@ -133,7 +136,8 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int
     """Runs of rows with one (leaf, low, high); a run may go on in the next batch."""
     held: dict[str, list] = {}
     current = None
-    for batch in batches:
+    # a batch becomes Python objects a piece at a time
+    for batch in (whole.slice(at, BLOCK_SETS) for whole in batches for at in range(0, whole.num_rows, BLOCK_SETS)):
         keys = np.stack([np.asarray(batch.column(n)).astype(np.int64) for n in ("leaf", "low", "high")], axis=1)
         if not len(keys):
             continue
@@ -151,10 +155,8 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int
         yield current, held
 
 
-def common(members: list[np.ndarray]) -> np.ndarray:
-    """How many members each two of the sets share, by products of blocks of the incidence matrix."""
+def _common_part(members: list[np.ndarray], out: np.ndarray) -> None:
     n = len(members)
-    out = np.zeros((n, n), dtype=np.float32)
     value = np.concatenate(members)
     row = np.repeat(np.arange(n), [len(x) for x in members])
     _, place, counts = np.unique(value, return_inverse=True, return_counts=True)
@@ -165,15 +167,31 @@ def common(members: list[np.ndarray]) -> np.ndarray:
     row, column = row[kept], number[place[kept]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    width = 4096
+    width = min(4096, max(64, CELLS_AT_ONCE // n))
     for start in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(column, [start, start + width])
         block = np.zeros((n, width), dtype=np.float32)
         block[row[a:b], column[a:b] - start] = 1
         out += block @ block.T
+
+
+def common(members: list[np.ndarray]) -> np.ndarray:
+    """How many members each two of the sets share, by products of blocks of the incidence matrix.
+
+    Many members are taken in parts by their remainder, which is the same for equal ones.
+    """
+    out = np.zeros((len(members), len(members)), dtype=np.float32)
+    parts = -(-sum(map(len, members)) // MEMBERS_AT_ONCE)
+    for part in range(parts):
+        _common_part([x[x % x.dtype.type(parts) == part] for x in members] if parts > 1 else members, out)
     return out
 
 
+def _strips(n: int) -> Iterator[slice]:
+    """The rows of a matrix, a few at a time."""
+    return (slice(at, at + ROWS_AT_ONCE) for at in range(0, n, ROWS_AT_ONCE))
+
+
 def _pairs(key: tuple[int, int, int], rows: dict[str, list]) -> np.ndarray:
     """Which two rows are to be compared here: in this pair of blocks, and in no leaf with a smaller key."""
     leaf, low, high = key
@@ -208,11 +226,15 @@ def _plausible(similarity: float, batches) -> Iterator[pa.RecordBatch]:
                             chosen |= {i, j}
         else:
             size = np.array(sizes)
-            least = np.minimum(size[:, None], size[None, :])
-            alike = least >= similarity * np.maximum(size[:, None], size[None, :])
             shared = common([np.frombuffer(x, "<u4") for x in rows["sketch"]])
-            alike &= shared >= np.maximum(1, SKETCH_SHARE * np.minimum(SKETCH, least))
-            chosen = np.flatnonzero((alike & _pairs(key, rows)).any(axis=1)).tolist() if alike.any() else []
+            alike = np.empty((n, n), dtype=bool)
+            for part in _strips(n):
+                least = np.minimum(size[part, None], size[None, :])
+                alike[part] = least >= similarity * np.maximum(size[part, None], size[None, :])
+                alike[part] &= shared[part] >= np.maximum(1, SKETCH_SHARE * np.minimum(SKETCH, least))
+            del shared
+            alike &= _pairs(key, rows)
+            chosen = np.flatnonzero(alike.any(axis=1)).tolist()
         leaves += [key[0]] * len(chosen)
         found += [rows["digest"][i] for i in chosen]
         if len(found) > 10_000:
@@ -232,14 +254,21 @@ def _links(similarity: float, batches) -> Iterator[pa.RecordBatch]:
         size = np.array([len(x) for x in members])
         shared = common(members)
         # whole numbers below 2^24 are exact in the products; the bound of the block's shingles keeps them there
-        linked = (shared >= similarity * (size[:, None] + size[None, :] - shared) - 1e-6) & _pairs(key, rows)
-        label = np.arange(len(size))
+        n = len(size)
+        linked = np.empty((n, n), dtype=bool)
+        for part in _strips(n):
+            linked[part] = shared[part] >= similarity * (size[part, None] + size[None, :] - shared[part]) - 1e-6
+        del shared
+        linked &= _pairs(key, rows)
+        label = np.arange(n)
         while True:
-            least = np.minimum(label, np.where(linked, label[None, :], len(size)).min(axis=1))
+            near = [np.where(linked[part], label[None, :], n).min(axis=1) for part in _strips(n)]
+            least = np.minimum(label, np.concatenate(near))
             if (least == label).all():
                 break
             label = least
-        links = linked @ np.array(rows["copies"], dtype=np.int64)
+        copies = np.array(rows["copies"], dtype=np.int64)
+        links = np.concatenate([linked[part] @ copies for part in _strips(n)])
         for i in np.flatnonzero(linked.any(axis=1)).tolist():
             out["digest"].append(rows["digest"][i])
             out["links"].append(int(links[i]))
