@@ -193,3 +193,19 @@ def test_increments_leave_only_their_results(spark, tmp_path):
     before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     extract.run_increment(rows, f"{tmp_path}/cursor", sink_format="parquet", path=f"{tmp_path}/sent")
     assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == before
+
+
+def test_limited_export_is_not_written_by_one_task(spark, sf_dir, tmp_path, monkeypatch):
+    from workload import catalog
+
+    monkeypatch.setattr(catalog, "staging_path", lambda spark, name: f"{tmp_path}/{name}")
+    # adaptive execution would make one part of the few test rows
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = catalog.queries()["csv_bootstrap_limited"](spark, sf_dir).orderBy("row_number").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(list((tmp_path / "csv" / "export").glob("part-*.csv"))) > 1
+    names = [row["case_number"] for row in found]
+    assert [row["row_number"] for row in found] == list(range(1, len(names) + 1)) and names == sorted(names)

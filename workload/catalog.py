@@ -625,7 +625,8 @@ def csv_bootstrap_no_id(spark, sf_dir):
 def csv_bootstrap_limited(spark, sf_dir):
     """The first rows of an export without IDs: their keys are the numbers of the rows, whatever parts the file is read in."""
     folder = staging_path(spark, "csv")
-    rows = _raw(spark, sf_dir).drop("ID").orderBy("Case Number").coalesce(1)
+    # sorted parts, whose files have paths in the same order: no task writes all rows
+    rows = _raw(spark, sf_dir).drop("ID").orderBy("Case Number")
     rows.write.option("header", True).option("escape", '"').csv(f"{folder}/export")
     part = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
