@@ -205,21 +205,21 @@ def label_distribution(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count("*").alias("n"))
 
 
-def pipeline(task: Task, categorical: list[str], forest: dict | None = None) -> Pipeline:
-    """Text to indexes, features to a vector, and the forest."""
+def encoding(task: Task, categorical: list[str]) -> list:
+    """Stages from text to indexes and from features to a vector; rows that cannot be encoded are left out."""
     stages = []
     if task.classes is None:
         stages.append(StringIndexer(inputCol=task.target, outputCol="label", handleInvalid="skip"))
     indexes = [CATEGORICAL[c] for c in categorical]
     if categorical:
         stages.append(StringIndexer(inputCols=categorical, outputCols=indexes, handleInvalid="keep"))
-    return Pipeline(
-        stages=stages
-        + [
-            VectorAssembler(inputCols=task.numeric + indexes, outputCol="features", handleInvalid="skip"),
-            RandomForestClassifier(labelCol="label", featuresCol="features", **(forest or FOREST)),
-        ]
-    )
+    return [*stages, VectorAssembler(inputCols=task.numeric + indexes, outputCol="features", handleInvalid="skip")]
+
+
+def pipeline(task: Task, categorical: list[str], forest: dict | None = None) -> Pipeline:
+    """Text to indexes, features to a vector, and the forest."""
+    classifier = RandomForestClassifier(labelCol="label", featuresCol="features", **(forest or FOREST))
+    return Pipeline(stages=[*encoding(task, categorical), classifier])
 
 
 def class_labels(model: PipelineModel, task: Task) -> list[str]:

@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,6 +50,23 @@ def usable_categories(frame: DataFrame) -> list[str]:
     return [c for c in learning.CATEGORICAL if counts[c] < learning.MAX_BINS]
 
 
+def _framed(processed: DataFrame, task: Task, fraction: float) -> DataFrame:
+    """The prepared frame with the label where the task's target is a number itself."""
+    frame = prepare(processed, task, fraction)
+    return frame if task.classes is None else frame.withColumn("label", F.col(task.target).cast("double"))
+
+
+def test_rows(processed: DataFrame, task: Task, fraction: float = learning.SAMPLE_FRACTION) -> DataFrame:
+    """The rows that ``train`` scores, with their context and truth.
+
+    They depend on sample, split and encoding, all as in the training; no forest is fitted.
+    """
+    frame = _framed(processed, task, fraction)
+    encoder = Pipeline(stages=learning.encoding(task, usable_categories(frame)))
+    encoded = encoder.fit(frame.filter("is_train")).transform(frame.filter(~F.col("is_train")))
+    return encoded.select(*learning.CONTEXT, task.target)
+
+
 def train(
     processed: DataFrame,
     task: Task,
@@ -61,9 +78,7 @@ def train(
     The sample, the model and the scored rows are each written once; fitting, counts and metrics read them.
     """
     spark = processed.sparkSession
-    frame = prepare(processed, task, fraction)
-    if task.classes is not None:
-        frame = frame.withColumn("label", F.col(task.target).cast("double"))
+    frame = _framed(processed, task, fraction)
     usable = usable_categories(frame)
     dropped = [c for c in learning.CATEGORICAL if c not in usable]
     fitted = learning.pipeline(task, usable, forest).fit(frame.filter("is_train"))

@@ -155,3 +155,23 @@ def test_area_under_roc_is_exact_beyond_a_thousand_scores(spark):
             wins += walked
     frame = spark.createDataFrame(scores, "label double, p double")
     assert model_reports.area_under_roc(frame, "label", "p") == pytest.approx(wins / walked / negatives, abs=1e-12)
+
+
+def test_test_rows_are_those_that_are_scored(trained, processed):
+    task, result = trained
+    columns = [*learning.CONTEXT, task.target]
+    rows = lambda df: sorted(map(str, df.select(*columns).collect()))
+    found = rows(training.test_rows(processed, task))
+    assert found and found == rows(training.prediction_table(result, task))
+
+
+def test_test_rows_need_no_forest(processed, monkeypatch):
+    monkeypatch.setattr(training.learning, "pipeline", lambda *args: pytest.fail("fits a forest"))
+    assert training.test_rows(processed, learning.CRIME_TYPE).count() > 0
+
+
+def test_query_of_test_rows_trains_nothing(spark, sf_dir, monkeypatch):
+    from workload import catalog
+
+    monkeypatch.setattr(catalog, "_trained", lambda *args: pytest.fail("fits a forest"))
+    assert catalog.queries()["ml_test_rows"](spark, sf_dir).count() > 0

@@ -765,8 +765,8 @@ def ml_domestic_predictions(spark, sf_dir):
 @_query
 def ml_test_rows(spark, sf_dir):
     """Which rows are scored, and their truth: what does not depend on the forest."""
-    trained = _trained(spark, sf_dir, learning.CRIME_TYPE)
-    return training.prediction_table(trained, learning.CRIME_TYPE).select("ID", "crime_category")
+    rows = training.test_rows(_processed(spark, sf_dir), learning.CRIME_TYPE)
+    return rows.select("ID", "crime_category")
 
 
 @_query
