@@ -3,13 +3,13 @@
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beatline.functions.sampling import key_fraction
 from beatline.operators.clean import require_columns
+from beatline.operators.forest import Forest
 
 # Settings of sampling, encoding and forest.
 SAMPLE_FRACTION = 0.7
@@ -218,8 +218,8 @@ def encoding(task: Task, categorical: list[str]) -> list:
 
 def pipeline(task: Task, categorical: list[str], forest: dict | None = None) -> Pipeline:
     """Text to indexes, features to a vector, and the forest."""
-    classifier = RandomForestClassifier(labelCol="label", featuresCol="features", **(forest or FOREST))
-    return Pipeline(stages=[*encoding(task, categorical), classifier])
+    classes = None if task.classes is None else len(task.classes)
+    return Pipeline(stages=[*encoding(task, categorical), Forest("ID", classes, **(forest or FOREST))])
 
 
 def class_labels(model: PipelineModel, task: Task) -> list[str]:

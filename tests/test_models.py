@@ -3,11 +3,16 @@
 from collections import Counter
 from itertools import product
 
+import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from beatline.operators import learning, model_reports
+from beatline.operators.forest import Forest, _thresholds, draws
 from beatline.plans import etl, training
 from beatline.sinks.tables import append_run
 from beatline.sources import runs
@@ -175,3 +180,60 @@ def test_query_of_test_rows_trains_nothing(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(catalog, "_trained", lambda *args: pytest.fail("fits a forest"))
     assert catalog.queries()["ml_test_rows"](spark, sf_dir).count() > 0
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_forest_without_draws_is_the_tree_of_mllib(spark, classes):
+    rows = spark.range(3000).selectExpr(
+        "id as ID",
+        f"double((id * 7 + int(id % 13 > 5) * int(id / 50) + int(id % 37 / 5)) % {classes}) as label",
+        "double(id % 37) / 4 as a",
+        "double(int(id / 50)) as b",
+        "string(id % 5) as c",
+        "string(id * id % 11) as d",
+        "1.0D as same",
+    )
+    stages = [
+        StringIndexer(inputCols=["c", "d"], outputCols=["ci", "di"], handleInvalid="keep"),
+        VectorAssembler(inputCols=["a", "b", "ci", "di", "same"], outputCol="features"),
+    ]
+    encoded = Pipeline(stages=stages).fit(rows).transform(rows)
+    settings = {"maxDepth": 6, "maxBins": 64, "minInstancesPerNode": 20}
+    tree = DecisionTreeClassifier(**settings).fit(encoded)
+    grown = Forest("ID", classes, numTrees=1, featureSubsetStrategy="all", bootstrap=False, **settings).fit(encoded)
+    assert grown.trees[0].numNodes == tree.numNodes > 20
+    assert list(grown.featureImportances) == pytest.approx(list(tree.featureImportances))
+    read = lambda model: [tuple(r["probability"]) for r in model.transform(encoded).orderBy("ID").collect()]
+    assert read(grown) == [pytest.approx(p) for p in read(tree)]
+
+
+def test_forest_draws_by_key_and_not_by_layout(spark):
+    rows = spark.range(2000).selectExpr("id as ID", "double((id * 7 + int(id / 90)) % 3) as label", "double(id % 97) as a", "double(id % 89) as b")
+    encoded = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    grow = lambda df: Forest("ID", 3, numTrees=3, maxDepth=4, subsamplingRate=0.7).fit(df).toDebugString.split("\n", 1)[1]
+    assert grow(encoded) == grow(encoded.repartition(5, "a"))
+
+
+def test_draws_are_of_the_poisson_distribution():
+    keys = np.arange(200_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ** np.uint64(2)
+    drawn = [draws(keys, tree, 42, _thresholds(0.7)) for tree in range(3)]
+    for rows, weight in drawn:
+        for k, share in enumerate([0.3476, 0.1217, 0.0284], start=1):
+            assert (weight == k).sum() / len(keys) == pytest.approx(share, abs=0.005)
+    both = len(np.intersect1d(drawn[0][0], drawn[1][0])) / len(keys)
+    assert both == pytest.approx(0.5034**2, abs=0.005)
+
+
+def test_forest_is_as_good_as_that_of_mllib(trained, processed):
+    task, result = trained
+    frame = training._framed(processed, task, learning.SAMPLE_FRACTION)
+    encoder = Pipeline(stages=learning.encoding(task, training.usable_categories(frame))).fit(frame.filter("is_train"))
+    taught, held = (encoder.transform(frame.filter(side)) for side in ("is_train", "not is_train"))
+    other = RandomForestClassifier(**SMALL).fit(taught)
+    accuracy = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+    ours, theirs = accuracy.evaluate(result.predictions), accuracy.evaluate(other.transform(held))
+    assert ours == pytest.approx(theirs, abs=0.12)
+
+
+def test_pipeline_ends_in_the_forest_by_levels():
+    assert isinstance(learning.pipeline(learning.CRIME_TYPE, list(learning.CATEGORICAL)).getStages()[-1], Forest)
