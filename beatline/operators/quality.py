@@ -26,11 +26,14 @@ def non_empty_rows(df: DataFrame) -> DataFrame:
 
 
 def read_as_api(messages: DataFrame) -> DataFrame:
-    """Message text with its reading under the API layout and whether that left nothing."""
+    """Message text with its reading under the API layout and whether that left nothing.
+
+    The reading passes a generator, below which no filter on it is moved, so that each text is parsed once.
+    """
     layout = schema.api_schema().add(CORRUPT, "string")
-    parsed = messages.select(F.col("value").cast("string").alias("json_str")).withColumn(
-        "data", F.from_json("json_str", layout, {"columnNameOfCorruptRecord": CORRUPT})
-    )
+    text = messages.select(F.col("value").cast("string").alias("json_str"))
+    reading = F.from_json("json_str", layout, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = text.select("json_str", F.explode(F.array(reading)).alias("data"))
     fields = [F.col(f"data.{f.name}") for f in schema.api_schema().fields if f.name != "location"]
     return parsed.withColumn("all_null", _nothing_known(fields + [F.to_json("data.location")]))
 

@@ -22,11 +22,13 @@ def _both_layouts() -> tuple[T.StructType, T.StructType]:
 def parse_messages(messages: DataFrame) -> DataFrame:
     """The 22 raw columns of every message: each from the CSV layout, else from the API layout.
 
-    The text is parsed once for both layouts.  Text that is no JSON object gives a row of NULLs.
+    The text is parsed once for both layouts, whatever is done with the rows later: a filter on columns of a projection
+    would be moved below it with the parsing written out for each column, and does not pass a generator.  Text that is no
+    JSON object gives a row of NULLs.
     """
     named, renamed = _both_layouts()
     record = F.from_json(F.col("value").cast("string"), named).cast(renamed)
-    fields = messages.select(record.alias("record")).select("record.*")
+    fields = messages.select(F.inline(F.array(record)))
 
     def pick(column):
         name = schema.snake_name(column)

@@ -82,3 +82,21 @@ def test_stream_equals_bulk_and_restart_adds_nothing(spark, tmp_path):
 def test_kafka_options_read_the_whole_topic():
     options = kafka_options("broker:9092", "incidents")
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
+
+
+def _parsers(df):
+    """How often the plan that runs parses JSON."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+
+@pytest.mark.parametrize("text", ['{"id": "1"}', '{"ID": "1"}', "not json", "", None, "[]", "{}"])
+def test_filters_on_parsed_messages_parse_once(spark, text):
+    messages = spark.createDataFrame([(text,)], "value string").repartition(2)
+    parsed = ingest.parse_messages(messages)
+    found = quality.non_empty_rows(parsed)
+    assert _parsers(found) == 1 == _parsers(parsed.filter("ID IS NOT NULL AND `Updated On` IS NOT NULL"))
+    assert [r["ID"] for r in found.collect()] == (["1"] if text and "1" in text else [])
+    assert [r.asDict() for r in parsed.filter("ID IS NULL").collect()] == ([] if text and "1" in text else [dict.fromkeys(parsed.columns)])
+    assert _parsers(quality.all_null_messages(messages)) == 1
+    known = text == '{"id": "1"}'
+    assert [r["json_str"] for r in quality.all_null_messages(messages).collect()] == ([] if known else [text])
