@@ -237,3 +237,12 @@ def test_forest_is_as_good_as_that_of_mllib(trained, processed):
 
 def test_pipeline_ends_in_the_forest_by_levels():
     assert isinstance(learning.pipeline(learning.CRIME_TYPE, list(learning.CATEGORICAL)).getStages()[-1], Forest)
+
+
+def test_candidates_wait_for_no_fit_of_mllib(spark, sf_dir, monkeypatch):
+    from workload import catalog
+
+    catalog.forget_trainings()
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda *args: pytest.fail("trained by MLlib"))
+    rows = catalog.queries()["ml_candidates"](spark, sf_dir).collect()
+    assert rows and all(r["top3_candidates"][0].startswith(r["predicted_crime_category"] + ":") for r in rows)
