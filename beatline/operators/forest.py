@@ -1,7 +1,7 @@
 """Random forests grown level by level from counts; the model is MLlib's own.
 
 MLlib's trainer walks every row through trees of objects and takes microseconds for a row, a tree and a level.  Here rows
-are stored once as bins, tasks count their rows of all open nodes of a level with numpy, the counts of a node are
+are stored once as blocks of bins, tasks count their rows of all open nodes of a level with numpy, the counts of a node are
 summed after a shuffle, and its split is chosen there.  Candidate splits, stopping rules, gains and the merging of like leaves
 are MLlib's.  Draws depend on the key of a row, not on partitions, so a forest does not change with the layout of its rows.
 """
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Estimator
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from beatline.session import discard, staged, staging_path
@@ -34,12 +34,15 @@ DEFAULTS = {
 }
 SUBSETS = {"all": lambda n: n, "sqrt": lambda n: math.ceil(math.sqrt(n)), "onethird": lambda n: math.ceil(n / 3)}
 
-# Rows of a stored partition, rows counted at a time, and nodes whose counts travel together.
+# Rows of a stored partition, rows looked at and cells counted at a time, and nodes whose counts travel together.
 ROWS_PER_PART = 1_000_000
-ROWS_AT_ONCE = 1 << 18
+ROWS_AT_ONCE = 1 << 13
+CELLS_AT_ONCE = 1 << 20
 NODES_PER_PART = 64
 QUANTILE_ACCURACY = 10_000
 
+_BLOCK = ["keys", "labels", "bins"]
+
 
 @dataclass
 class Features:
@@ -90,39 +93,49 @@ def _bounds(rows: DataFrame, numeric: list[int], most: int) -> dict[int, np.ndar
     """Midpoints between the values of a number with few of them, else quantiles over all rows."""
     if not numeric:
         return {}
-    steps = [i / most for i in range(1, most)] + [1.0]
-    value = {i: F.col("x")[i] for i in numeric}
-    found = rows.agg(
-        *[F.percentile_approx(value[i], steps, QUANTILE_ACCURACY).alias(f"q{i}") for i in numeric],
-        *[F.approx_count_distinct(value[i], 0.05).alias(f"n{i}") for i in numeric],
-    ).first()
-    few = [i for i in numeric if found[f"n{i}"] <= 2 * most]
+    distinct = rows.agg(*[F.approx_count_distinct(f"x{i}", 0.05).alias(f"x{i}") for i in numeric]).first()
+    few = [i for i in numeric if distinct[f"x{i}"] <= 2 * most]
     values: dict[int, list[float]] = {i: [] for i in few}
     if few:
-        pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), value[i].alias("v")) for i in few]))
+        pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("v")) for i in few]))
         for row in rows.select(pairs).distinct().collect():
             values[row["i"]].append(row["v"])
-    made = {}
-    for i in numeric:
-        if i in values and len(set(values[i])) <= most:
-            known = np.unique(values[i])
-            made[i] = (known[:-1] + known[1:]) / 2
-        else:
-            made[i] = np.unique(found[f"q{i}"])
-            # nothing lies above the greatest value
-            made[i] = made[i][:-1]
+    made = {i: np.unique(values[i]) for i in few if len(set(values[i])) <= most}
+    made = {i: (known[:-1] + known[1:]) / 2 for i, known in made.items()}
+    # the quantiles, the costly part, only of numbers whose values do not fit
+    if many := [i for i in numeric if i not in made]:
+        steps = [k / most for k in range(1, most)] + [1.0]
+        found = rows.agg(*[F.percentile_approx(f"x{i}", steps, QUANTILE_ACCURACY).alias(f"x{i}") for i in many]).first()
+        # nothing lies above the greatest value
+        made |= {i: np.unique(found[f"x{i}"])[:-1] for i in many}
     return made
 
 
-def _binned(features: Features, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "label", *(f"b{i}" for i in range(len(features.bounds)))]
+def _bin(features: Features, i: int, values: np.ndarray) -> np.ndarray:
+    bounds = features.bounds[i]
+    return (values if bounds is None else np.searchsorted(bounds, values, side="left")).astype(np.int16)
+
+
+def _packed(features: Features, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by the thousand, each block one row: keys, labels and bins as bytes, since every level reads them again."""
+    for whole in batches:
+        for begin in range(0, whole.num_rows, ROWS_AT_ONCE):
+            batch = whole.slice(begin, ROWS_AT_ONCE)
+            columns = [_bin(features, i, batch.column(f"x{i}").to_numpy()) for i in range(len(features.bounds))]
+            block = [batch.column("key").to_numpy(), batch.column("label").to_numpy(), np.stack(columns, axis=1)]
+            yield pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.binary()) for part in block], _BLOCK)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int, classes: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys of each block, its bins row after row, and the same as places among bins and classes."""
+    blocks = []
     for batch in batches:
-        x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-        bins = [
-            (x[:, i] if bounds is None else np.searchsorted(bounds, x[:, i], side="left")).astype(np.int16)
-            for i, bounds in enumerate(features.bounds)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), *map(pa.array, bins)], names)
+        for row in zip(*(batch.column(name) for name in _BLOCK), strict=True):
+            types = (np.uint64, np.int16, np.int16)
+            keys, labels, bins = (np.frombuffer(cell.as_buffer(), kind) for cell, kind in zip(row, types, strict=True))
+            coded = bins.reshape(-1, width) * np.int32(classes) + labels.astype(np.int32)[:, None]
+            blocks.append((keys, bins, coded.ravel()))
+    return blocks
 
 
 # ---- counting, in tasks ----
@@ -146,53 +159,79 @@ def draws(keys: np.ndarray, tree: int, seed: int, thresholds: np.ndarray) -> tup
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     z ^= z >> np.uint64(31)
     rows = np.flatnonzero(z >= thresholds[0])
-    return rows, 1.0 + np.searchsorted(thresholds[1:], z[rows], side="right")
-
-
-def _counts(level: Level, depth: int, bins: np.ndarray, labels: np.ndarray, rows: np.ndarray, weight: np.ndarray, classes: int):
-    """Rows by open node, chosen feature, bin and class, end to end."""
-    width, most = bins.shape[1], level.right.shape[1]
-    flat, right = bins.ravel(), level.right.ravel()
-    node = np.ones(len(rows), dtype=np.int64)
-    for _ in range(depth):
-        feature = level.feature[node]
-        inner = feature >= 0
-        if not inner.all():
-            rows, weight, node, feature = rows[inner], weight[inner], node[inner], feature[inner]
-        node = 2 * node + right.take(node * most + flat.take(rows * width + feature))
-    slots = np.full(2 << depth, -1, dtype=np.int64)
-    slots[level.nodes] = np.arange(len(level.nodes))
-    slot = slots[node]
-    if (slot < 0).any():
-        here = slot >= 0
-        rows, weight, slot = rows[here], weight[here], slot[here]
-    label = labels[rows]
-    cells = [
-        (level.start[slot * level.chosen.shape[1] + k] + flat.take(rows * width + level.chosen[slot, k])) * classes + label
-        for k in range(level.chosen.shape[1])
-    ]
-    return np.bincount(np.concatenate(cells), np.tile(weight, len(cells)), level.start[-1] * classes)
+    z, weight = z[rows], np.ones(len(rows))
+    again = np.flatnonzero(z >= thresholds[1])
+    weight[again] = 2.0 + np.searchsorted(thresholds[2:], z[again], side="right")
+    return rows, weight
 
 
-def _count_level(levels, depth, classes, seed, thresholds, batches) -> Iterator[pa.RecordBatch]:
+def _steps(feature: np.ndarray, right: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The feature that each node looks at, and by node and bin where a row goes: from a leaf to the place named for it."""
+    inner = feature >= 0
+    onward = 2 * np.arange(len(feature))[:, None] + right
+    return np.where(inner, feature, 0), np.where(inner[:, None], onward, leaves[:, None]).ravel()
+
+
+class _Counter:
+    """Rows of one tree by open node, chosen feature, bin and class, end to end.
+
+    A few thousand rows are looked at together, so that what belongs to them stays in the processor's cache; their
+    cells are gathered and counted when there are many, as each count walks over the cells of all open nodes.
+    """
+
+    def __init__(self, level: Level, depth: int, width: int, classes: int) -> None:
+        self.depth, self.width, self.most = depth, width, level.right.shape[1]
+        # rows of leaves go to place 0 and stay there
+        self.feature, self.next = _steps(level.feature, level.right, np.zeros(len(level.feature), np.int64))
+        self.slots = np.full(2 << depth, -1, dtype=np.int64)
+        self.slots[level.nodes] = np.arange(len(level.nodes))
+        self.chosen = np.ascontiguousarray(level.chosen.T)
+        self.start = np.ascontiguousarray(level.start[:-1].reshape(level.chosen.shape).T) * classes
+        self.total = np.zeros(level.start[-1] * classes)
+        self.cells, self.weights = np.empty(CELLS_AT_ONCE, np.int64), np.empty(CELLS_AT_ONCE)
+        self.filled = 0
+
+    def add(self, bins: np.ndarray, coded: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> None:
+        """Rows, by number, of flat tables: the bins of each row, and the same as places among bins and classes."""
+        first, node = rows * self.width, np.ones(len(rows), dtype=np.int64)
+        for _ in range(self.depth):
+            node = self.next[node * self.most + bins[first + self.feature[node]]]
+        slot = self.slots[node]
+        if slot.min(initial=0) < 0:
+            here = np.flatnonzero(slot >= 0)
+            first, weight, slot = first[here], weight[here], slot[here]
+        n = len(slot)
+        if self.filled + n * len(self.chosen) > len(self.cells):
+            self._count()
+        for chosen, start in zip(self.chosen, self.start, strict=True):
+            end = self.filled + n
+            np.add(start[slot], coded[first + chosen[slot]], out=self.cells[self.filled : end])
+            self.weights[self.filled : end] = weight
+            self.filled = end
+
+    def _count(self) -> None:
+        self.total += np.bincount(self.cells[: self.filled], self.weights[: self.filled], len(self.total))
+        self.filled = 0
+
+    def counts(self) -> np.ndarray:
+        self._count()
+        return self.total.astype(np.int64)
+
+
+def _count_level(levels, depth, width, classes, seed, thresholds, batches) -> Iterator[pa.RecordBatch]:
     """One row per tree and group of nodes with the counts of this task's rows."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    blocks = _blocks(batches, width, classes)
+    if not blocks:
         return
-    keys = table.column("key").to_numpy().view(np.uint64)
-    labels = table.column("label").to_numpy().astype(np.int64)
-    bins = np.stack([table.column(i).to_numpy() for i in range(2, table.num_columns)], axis=1)
     for tree, level in levels.items():
-        total = np.zeros(level.start[-1] * classes)
-        for begin in range(0, len(keys), ROWS_AT_ONCE):
-            end = begin + ROWS_AT_ONCE
+        counter = _Counter(level, depth, width, classes)
+        for keys, bins, coded in blocks:
             if thresholds is None:
-                rows = np.arange(len(keys[begin:end]))
-                weight = np.ones(len(rows))
+                rows, weight = np.arange(len(keys)), np.ones(len(keys))
             else:
-                rows, weight = draws(keys[begin:end], tree, seed, thresholds)
-            total += _counts(level, depth, bins[begin:end], labels[begin:end], rows, weight, classes)
-        total, wide = total.astype(np.int64), level.chosen.shape[1]
+                rows, weight = draws(keys, tree, seed, thresholds)
+            counter.add(bins, coded, rows, weight)
+        total, wide = counter.counts(), level.chosen.shape[1]
         parts = level.parts()
         cuts = [total[level.start[b * wide] * classes : level.start[e * wide] * classes].tobytes() for _, b, e in parts]
         yield pa.RecordBatch.from_arrays(
@@ -295,7 +334,7 @@ def _choices(stored: DataFrame, levels: dict[int, Level], depth: int, features:
     thresholds = _thresholds(settings["subsamplingRate"]) if settings["bootstrap"] else None
     seed, fewest = settings["seed"], settings["minInstancesPerNode"]
     counted = stored.mapInArrow(
-        lambda batches: _count_level(levels, depth, features.classes, seed, thresholds, batches),
+        lambda batches: _count_level(levels, depth, len(features.bounds), features.classes, seed, thresholds, batches),
         "tree int, part int, counts binary",
     )
     return counted.groupBy("tree", "part").applyInArrow(lambda table: _choose(levels, features, fewest, table), _CHOICE)
@@ -443,6 +482,64 @@ def _as_model(spark: SparkSession, trees: list[Tree], features: Features, settin
     return model
 
 
+def _drop(stored: DataFrame) -> None:
+    discard(stored.sparkSession, *{path.rsplit("/", 1)[0] for path in stored.inputFiles()})
+
+
+# ---- scoring ----
+
+
+class Grown:
+    """The trees of a model, to score rows by the thousand: MLlib walks each row through trees of objects, node by node.
+
+    Votes are added and divided in the order of MLlib's, so its model gives the same doubles.
+    """
+
+    def __init__(self, trees: list[Tree], features: Features) -> None:
+        self.features, self.trees = features, []
+        for tree in trees:
+            merged = _merge_alike(tree)
+            inner = np.array([not _leaf(tree, place, merged) for place in range(len(tree.feature))])
+            share = np.zeros((2 * len(inner), features.classes))
+            for place, counts in tree.counts.items():
+                if _leaf(tree, place, merged):
+                    share[place] = counts / max(counts.sum(), 1)
+            self.trees.append((np.where(inner, tree.feature, -1), tree.right, share))
+
+    def _votes(self, bins: np.ndarray) -> np.ndarray:
+        first, flat = np.arange(len(bins)) * bins.shape[1], bins.ravel()
+        votes = np.zeros((len(bins), self.features.classes))
+        for feature, right, share in self.trees:
+            most, inner = right.shape[1], len(feature)
+            look, onward = _steps(feature, right, np.arange(inner))
+            node = np.ones(len(bins), dtype=np.int64)
+            # as many steps as levels; a row that comes to a leaf before stays there
+            for _ in range(inner.bit_length() - 1):
+                node = onward[node * most + flat[first + look[node]]]
+            votes += share[node]
+        return votes
+
+    def _scored(self, x: pa.Array) -> pa.Array:
+        values = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+        bins = [_bin(self.features, i, values[:, i]) for i in range(values.shape[1])]
+        votes = self._votes(np.stack(bins, axis=1))
+        total = np.zeros(len(votes))
+        for column in votes.T:
+            total += column
+        total[total == 0] = 1
+        ends = np.arange(len(votes) + 1, dtype=np.int32) * votes.shape[1]
+        shares = pa.ListArray.from_arrays(pa.array(ends), pa.array((votes / total[:, None]).ravel()))
+        return pa.StructArray.from_arrays([shares, pa.array(votes.argmax(axis=1).astype(float))], ["shares", "prediction"])
+
+    def transform(self, encoded: DataFrame) -> DataFrame:
+        """``probability`` and ``prediction`` of rows with ``features``, as the model gives them."""
+        score = F.arrow_udf(self._scored, "shares array<double>, prediction double")
+        found = encoded.withColumn("_scored", score(vector_to_array("features")))
+        return found.withColumns(
+            {"probability": array_to_vector("_scored.shares"), "prediction": F.col("_scored.prediction")}
+        ).drop("_scored")
+
+
 class Forest(Estimator):
     """A random forest over the columns ``features``, ``label`` and a key, with the settings of MLlib's.
 
@@ -471,19 +568,24 @@ class Forest(Estimator):
 
     def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
         spark = dataset.sparkSession
-        rows = dataset.select(
+        vector = dataset.select(
             F.xxhash64(self.key).alias("key"),
             F.col("label").cast("smallint").alias("label"),
             vector_to_array("features").alias("x"),
         )
-        features = self._features(dataset, rows)
-        n = dataset.count()
+        width = sum(len(group) for group in dataset.schema["features"].metadata["ml_attr"]["attrs"].values())
+        # encoded once: bounds, values and bins each read them
+        rows = staged(vector.select("key", "label", *[F.col("x")[i].alias(f"x{i}") for i in range(width)]), "forest-rows")
+        n = rows.count()
         if not n:
             raise ValueError("no rows to learn from")
+        features = self._features(dataset, rows)
         parts = max(2 * spark.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_PART))
-        columns = ", ".join(f"b{i} smallint" for i in range(len(features.bounds)))
-        binned = rows.mapInArrow(lambda batches: _binned(features, batches), f"key bigint, label smallint, {columns}")
-        stored = staged(binned.repartition(parts, "key"), "forest-bins")
+        packed = rows.mapInArrow(lambda batches: _packed(features, batches), ", ".join(f"{name} binary" for name in _BLOCK))
+        stored = staged(packed.repartition(parts), "forest-bins")
+        _drop(rows)
         trees = _grow(stored, features, self.settings)
-        discard(spark, *{path.rsplit("/", 1)[0] for path in stored.inputFiles()})
-        return _as_model(spark, trees, features, self.settings)
+        _drop(stored)
+        model = _as_model(spark, trees, features, self.settings)
+        model.grown = Grown(trees, features)
+        return model

@@ -33,15 +33,15 @@ def _saved(model: PipelineModel, spark: SparkSession, name: str) -> PipelineMode
 def prepare(processed: DataFrame, task: Task, fraction: float = learning.SAMPLE_FRACTION) -> DataFrame:
     """Sampled feature frame with collapsed locations and the training mark.
 
-    The sample is written once, since it is read for the top locations and by every pass of the training.
+    The sample is written once with its marks, since it is read for the top locations and by every pass of the training.
     The top locations, twenty at most, come to the driver and return as constants.
     """
     sampled = learning.sample(learning.feature_frame(processed, task), fraction)
     texts = [c for c in learning.CATEGORICAL if c in sampled.columns]
     used = dict.fromkeys([*learning.CONTEXT, *task.numeric, *texts, task.target])
-    frame = staged(sampled.select(*used), f"{task.name}-frame")
+    frame = staged(learning.split(sampled.select(*used)), f"{task.name}-frame")
     kept = [row["Location Description"] for row in learning.top_locations(frame).collect()]
-    return learning.split(learning.collapse_locations(frame, kept))
+    return learning.collapse_locations(frame, kept)
 
 
 def usable_categories(frame: DataFrame) -> list[str]:
@@ -85,8 +85,10 @@ def train(
     model = _saved(fitted, spark, f"{task.name}-model")
     labels = learning.class_labels(model, task)
 
-    scored = model.transform(frame.filter(~F.col("is_train")))
-    importances = learning.feature_importances(model, scored)
+    *encoders, forest_model = fitted.stages
+    encoded = PipelineModel(encoders).transform(frame.filter(~F.col("is_train")))
+    importances = learning.feature_importances(model, encoded)
+    scored = forest_model.grown.transform(encoded)
     named = learning.name_predictions(scored, task, labels).select(
         *learning.CONTEXT, *task.outputs, "label", "prediction", vector_to_array("probability").alias("prob_array")
     )

@@ -6,7 +6,7 @@ from itertools import product
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
@@ -246,3 +246,46 @@ def test_candidates_wait_for_no_fit_of_mllib(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(RandomForestClassifier, "_fit", lambda *args: pytest.fail("trained by MLlib"))
     rows = catalog.queries()["ml_candidates"](spark, sf_dir).collect()
     assert rows and all(r["top3_candidates"][0].startswith(r["predicted_crime_category"] + ":") for r in rows)
+
+
+def _many_sided(spark, rows=4000):
+    numbers = spark.range(rows).selectExpr(
+        "id as ID",
+        "double((id * 7 + int(id % 13 > 5) * int(id / 50) + int(id % 37 / 5)) % 3) as label",
+        "double(id % 37) / 4 as a",
+        "double(id * 31 % 997) / 3 as b",
+        "string(id % 5) as c",
+        "string(id * id % 11) as d",
+    )
+    stages = [
+        StringIndexer(inputCols=["c", "d"], outputCols=["ci", "di"], handleInvalid="keep"),
+        VectorAssembler(inputCols=["a", "b", "ci", "di"], outputCol="features"),
+    ]
+    return Pipeline(stages=stages).fit(numbers.filter("c != '3'")).transform(numbers)
+
+
+@pytest.mark.parametrize("settings", [{"maxDepth": 7, "minInstancesPerNode": 5}, {"maxDepth": 1}, {"maxDepth": 3, "minInstancesPerNode": 2000}])
+def test_scores_are_the_doubles_of_mllib(spark, settings):
+    encoded = _many_sided(spark)
+    model = Forest("ID", 3, numTrees=7, maxBins=64, subsamplingRate=0.7, **settings).fit(encoded.filter("c != '3'"))
+    read = lambda df: [(tuple(r[0]), r[1]) for r in df.orderBy("ID").select("probability", "prediction").collect()]
+    assert read(model.grown.transform(encoded)) == read(model.transform(encoded))
+
+
+def test_training_scores_without_mllib(processed, monkeypatch):
+    monkeypatch.setattr(RandomForestClassificationModel, "_transform", lambda *args: pytest.fail("scored row by row by MLlib"))
+    assert training.train(processed, learning.CRIME_TYPE, forest=SMALL).predictions.count() > 0
+
+
+def test_forest_encodes_each_row_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = _many_sided(spark, 1500).drop("features").withColumn("b", counted("b"))
+    encoded = VectorAssembler(inputCols=["a", "b", "ci", "di"], outputCol="features").transform(rows)
+    Forest("ID", 3, numTrees=2, maxDepth=2, maxBins=64).fit(encoded)
+    assert seen.value == 1500
