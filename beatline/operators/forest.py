@@ -580,7 +580,9 @@ class Forest(Estimator):
         if not n:
             raise ValueError("no rows to learn from")
         features = self._features(dataset, rows)
-        parts = max(2 * spark.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_PART))
+        # equal shares for all cores: one part more than they take at a time would double the time of each level
+        cores = spark.sparkContext.defaultParallelism
+        parts = cores * max(2, math.ceil(n / ROWS_PER_PART / cores))
         packed = rows.mapInArrow(lambda batches: _packed(features, batches), ", ".join(f"{name} binary" for name in _BLOCK))
         stored = staged(packed.repartition(parts), "forest-bins")
         _drop(rows)
